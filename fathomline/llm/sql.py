@@ -3,7 +3,7 @@
 OP2 = r"""
 WITH split AS (
   SELECT row_number() OVER () AS r, doc_id,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 starts AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM split WHERE len(w) >= 35),
 grams AS (SELECT r, i, md5(array_to_string(w[i : i + 34], ' ')) AS g FROM starts),

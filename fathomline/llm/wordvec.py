@@ -17,6 +17,8 @@ CHUNK_BYTES = 2_000_000
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_ITEM = np.ones(256, dtype=bool)  # bytes that end a word of letters and digits: all ASCII but a-z and 0-9
+_ITEM[list(range(0x30, 0x3A)) + list(range(0x61, 0x7B)) + list(range(0x80, 0x100))] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -96,11 +98,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def tokenise(column: pa.Array, lower: bool = False) -> Words:
+def tokenise(column: pa.Array, lower: bool = False, items: bool = False) -> Words:
+    """Words of each text; ``lower`` lower-cases A-Z, ``items`` also ends words at ASCII punctuation."""
     data, offsets = text_bytes(column)
     if lower:
         data = _LOWER[data]
-    solid = ~_SPACE[data]
+    solid = ~(_ITEM if items else _SPACE)[data]
     cut = offsets[:-1][offsets[:-1] < len(data)]
     before = np.zeros(len(data), bool)
     before[1:] = solid[:-1]
