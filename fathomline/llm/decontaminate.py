@@ -12,6 +12,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fathomline.llm.shared import small_or_shuffled
+
 #: Bytes of benchmark windows up to which they are broadcast; beyond, the same join shuffles.
 BROADCAST_BYTES = 48 << 20
 
@@ -82,4 +84,5 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     bad = mark_contamination(docs, benchmark, window, share).where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    bad = small_or_shuffled(bad)
     return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("bad_id")) & (F.xxhash64(docs["text"]) == F.col("bad_hash")), "left_anti")

@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fathomline.llm.decontaminate import mark_contamination
 from fathomline.llm.html_text import extract_main_text
+from fathomline.llm.license_scan import scan_licenses
+from fathomline.llm.neighbours import search
+from fathomline.llm.ngram_jaccard import link_near_duplicates
+from fathomline.llm.ngram_lm import score_texts
 from fathomline.llm.packing import pack_documents
 from fathomline.llm.pii import find_pii, summarise
 from fathomline.llm.substring import remove_repeated_windows
@@ -40,3 +44,19 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
     return scored.selectExpr("row.doc_id AS doc_id", "held_out", "score", "predicted", "CAST(size(segments) AS BIGINT) AS n_segments")
+
+
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_near_duplicates(_table(spark, sf_dir, "documents")).drop("cls")
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))

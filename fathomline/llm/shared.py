@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import broadcast
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -13,3 +15,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
+
+
+def small_or_shuffled(df: DataFrame, most: int = 400_000) -> DataFrame:
+    """A table of keys for a join: checkpointed, and broadcast only if it has at most ``most`` rows."""
+    df = checkpointed(df)
+    return broadcast(df) if df.count() <= most else df
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet in the checkpoint folder and read again."""
+    checkpointed(df.sparkSession.range(0))  # sets the folder where it is unset
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

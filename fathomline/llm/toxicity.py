@@ -1,8 +1,9 @@
 """Toxic passages by maximum-scoring segments over token log-odds.
 
-Token log-odds come from labelled documents with an informative Dirichlet prior; tokens whose log-odds differ from
-zero significantly form the lexicon, all others share one background score. A linear scan (Ruzzo and Tompa) finds every
-maximal segment. Scores of clean documents follow an extreme-value law in document length; its fit turns a segment's
+Token log-odds come from labelled documents with a Dirichlet prior; a word's features are itself and its proper
+beginnings, so that inflected and compounded forms share evidence. Features whose log-odds are significantly above zero
+form the lexicon; a word scores its best feature, all other words share one background score. Near-copies count once in
+learning. A linear scan (Ruzzo and Tompa) finds every maximal segment. Scores of clean documents follow an extreme-value law in document length; its fit turns a segment's
 score into a significance, and a logistic curve over the sum of significances gives the probability.
 
 Learning uses at most ``sample`` labelled rows (those of smallest hash), a documented bound; scoring is one map pass.
@@ -19,12 +20,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.wordvec import chunks, column, tokenise
+from fathomline.llm.shared import checkpointed
+from fathomline.llm.wordvec import Words, chunks, column, tokenise
 
-#: Labelled rows to learn from, at most; and the z-score at which a token enters the lexicon.
+#: Labelled rows to learn from, at most; and the z-score and log-odds at which a feature enters the lexicon.
 SAMPLE = 20_000
-Z_LEAST = 3.5
-PRIOR_MASS = 2_000.0
+Z_LEAST, ODDS_LEAST = 3.2, 2.0
+#: Dirichlet prior: documents of each class in which any feature counts as seen beforehand.
+PRIOR = 0.5
+#: Bytes of the word beginnings that are features.
+BEGINNINGS = (4, 5, 6, 7, 8)
 EULER = 0.5772156649
 
 
@@ -41,14 +46,22 @@ class Model:
         self.sieve = np.zeros(1 << 16, bool)
         self.sieve[(self.hashes & np.uint64(0xFFFF)).astype(np.int64)] = True
 
-    def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of lexicon words and their weights."""
-        at = np.flatnonzero(self.sieve[(hashes & np.uint64(0xFFFF)).astype(np.int64)])
-        if not len(at) or not len(self.hashes):
-            return np.zeros(0, np.int64), np.zeros(0)
-        k = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
-        same = self.hashes[k] == hashes[at]
-        return at[same], self.weights[k[same]]
+    def _find(self, at: np.ndarray, hashes: np.ndarray, best: dict[int, float]) -> None:
+        maybe = np.flatnonzero(self.sieve[(hashes & np.uint64(0xFFFF)).astype(np.int64)])
+        k = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
+        same = self.hashes[k] == hashes[maybe]
+        for place, weight in zip(at[maybe[same]].tolist(), self.weights[k[same]].tolist(), strict=True):
+            best[place] = max(weight, best.get(place, 0.0))
+
+    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Places of words with a lexicon feature, ascending, and the weight of the best."""
+        best: dict[int, float] = {}
+        if len(self.hashes) and len(words.start):
+            self._find(np.arange(len(words.start)), words.hashes(), best)
+            for at, hashes in words.beginnings(BEGINNINGS):
+                self._find(at, hashes, best)
+        places = sorted(best)
+        return np.array(places, np.int64), np.array([best[p] for p in places])
 
 
 def segments(places: list[int], weights: list[float], background: float) -> list[tuple[int, int, float]]:
@@ -84,7 +97,7 @@ def _significance(score: float, n: int, model: Model) -> float:
 
 def _scan(texts: pa.Array, model: Model) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
     words = tokenise(texts, lower=True, items=True)
-    at, weight = model.hits(words.hashes())
+    at, weight = model.hits(words)
     cut = np.searchsorted(at, words.first)
     for d, n in enumerate(words.counts.tolist()):
         low, high = cut[d], cut[d + 1]
@@ -96,21 +109,30 @@ def _features(n: int, found: list[tuple[int, int, float]], model: Model) -> tupl
     return math.log1p(sum(x for x in rated if x > 0.7)), math.log1p(sum(x > 3 for x in rated))
 
 
+def _grouped(batches):
+    """Adds the least word hash of each text: near-copies mostly share it."""
+    for batch in chunks(batches):
+        words = tokenise(column(batch, "text"), lower=True, items=True)
+        h = words.hashes()
+        least = [int(h[a:b].min() >> np.uint64(1)) if b > a else 0 for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([column(batch, "text"), column(batch, "toxic").cast(pa.int32()), pa.array(least, pa.int64())], names=["text", "toxic", "kin"])
+
+
 def _presence(batches):
-    """Documents that hold each word, toxic and clean; and of each kind, a row under hash 0 with its sum."""
-    held: dict = {}
+    """For each feature, the toxic and the clean documents of this task that hold it."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in chunks(batches):
         words = tokenise(column(batch, "text"), lower=True, items=True)
-        h, doc = words.hashes(), words.doc_of_word()
+        doc = words.doc_of_word()
+        parts = [(doc, words.hashes()), *((doc[at], h) for at, h in words.beginnings(BEGINNINGS))]
+        doc, h = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((h, doc))
         h, doc = h[order], doc[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-        toxic = column(batch, "toxic").to_numpy(zero_copy_only=False).astype(bool)[doc[new]]
-        held.setdefault("h", []).append(h[new])
-        held.setdefault("t", []).append(toxic)
+        held.append((h[new], column(batch, "toxic").to_numpy(zero_copy_only=False).astype(bool)[doc[new]]))
     if held:
-        h, t = np.concatenate(held["h"]), np.concatenate(held["t"])
+        h, t = (np.concatenate(x) for x in zip(*held, strict=True))
         distinct, inverse = np.unique(h, return_inverse=True)
         hot = np.bincount(inverse, weights=t, minlength=len(distinct)).astype(np.int64)
         every = np.bincount(inverse, minlength=len(distinct))
@@ -118,11 +140,16 @@ def _presence(batches):
 
 
 def _sample_scores(model: Model):
+    """Per labelled text: best segment, words, the curve's features and the weights of its lexicon words."""
+
     def score(batches):
         for batch in chunks(batches):
-            rows = [(max((s for _, _, s in found), default=0.0), n, *_features(n, found, model)) for n, found in _scan(column(batch, "text"), model)]
-            best, n, a, b = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([column(batch, "toxic").cast(pa.int32()), pa.array(best, pa.float64()), pa.array(n, pa.int64()), pa.array(a, pa.float64()), pa.array(b, pa.float64())], names=["toxic", "best", "n", "a", "b"])
+            words = tokenise(column(batch, "text"), lower=True, items=True)
+            at, weight = model.hits(words)
+            cut = np.searchsorted(at, words.first)
+            rows = [(max((s for _, _, s in found), default=0.0), n, *_features(n, found, model), weight[cut[d] : cut[d + 1]].tolist()) for d, (n, found) in enumerate(_scan(column(batch, "text"), model))]
+            best, n, a, b, w = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([column(batch, "toxic").cast(pa.int32()), pa.array(best, pa.float64()), pa.array(n, pa.int64()), pa.array(a, pa.float64()), pa.array(b, pa.float64()), pa.array(w, pa.list_(pa.float64()))], names=["toxic", "best", "n", "a", "b", "w"])
 
     return score
 
@@ -149,36 +176,36 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = SAMP
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id"), folds))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(known), F.col("_id") == F.col("doc_id")).select("text", "toxic")
-    words = texts.mapInArrow(_presence, "word long, hot long, cold long").groupBy("word").agg(F.sum("hot").alias("hot"), F.sum("cold").alias("cold"))
-    total = words.agg(F.sum("hot").alias("hot"), F.sum("cold").alias("cold")).first()
-    if not total["hot"] or not total["cold"]:
+    texts = texts.mapInArrow(_grouped, "text string, toxic int, kin long").groupBy("kin", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
+    texts = checkpointed(texts)
+    size = {bool(r["toxic"]): r["n"] for r in texts.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
+    if len(size) < 2:
         return Model()
-    n, share = total["hot"] + total["cold"], F.lit(PRIOR_MASS / (total["hot"] + total["cold"]))
-    prior = (F.col("hot") + F.col("cold")) * share
-    odds = lambda y, m: F.log((F.col(y) + prior) / (m + PRIOR_MASS - F.col(y) - prior))
-    z = (odds("hot", total["hot"]) - odds("cold", total["cold"])) / F.sqrt(1 / (F.col("hot") + prior) + 1 / (F.col("cold") + prior))
-    picked = words.where(F.abs(z) >= Z_LEAST).orderBy("word").collect()
+    words = texts.mapInArrow(_presence, "word long, hot long, cold long").groupBy("word").agg(F.sum("hot").alias("hot"), F.sum("cold").alias("cold"))
+    odds = lambda c, n: F.log((F.col(c) + PRIOR) / (n + PRIOR - F.col(c)))
+    weight = odds("hot", size[True]) - odds("cold", size[False])
+    z = weight / F.sqrt(1 / (F.col("hot") + PRIOR) + 1 / (F.col("cold") + PRIOR))
+    picked = words.where((z >= Z_LEAST) & (weight >= ODDS_LEAST)).select("word", weight.alias("weight")).orderBy("word").collect()
     if not picked:
         return Model()
     hashes = np.array([r["word"] for r in picked], np.int64).view(np.uint64)
-    hot, cold = np.array([r["hot"] for r in picked], float), np.array([r["cold"] for r in picked], float)
-    a = PRIOR_MASS * (hot + cold) / n
-    p_hot, p_cold = (hot + a) / (total["hot"] + PRIOR_MASS), (cold + a) / (total["cold"] + PRIOR_MASS)
     order = np.argsort(hashes)
-    weights = np.clip(np.log(p_hot / p_cold), -2.0, 12.0)
-    background = min(math.log(max(1 - p_hot.sum(), 1e-3) / max(1 - p_cold.sum(), 1e-3)), -0.005)
-    low, high = 1e-3, 20.0
-    mass = lambda d: float((p_cold * np.exp(np.minimum(d * weights, 600))).sum() + max(1 - p_cold.sum(), 0) * math.exp(d * background))
-    for _ in range(80):  # the decay at which the moment generating function of clean scores is one
+    model = Model(hashes[order], np.minimum(np.array([r["weight"] for r in picked]), 12.0)[order])
+    scored = lambda: sorted(map(tuple, texts.mapInArrow(_sample_scores(model), "toxic int, best double, n long, a double, b double, w array<double>").collect()))
+    rows = scored()
+    share = {y: sum(len(r[5]) for r in rows if (r[0] > 0) == y) / max(sum(r[2] for r in rows if (r[0] > 0) == y), 1) for y in (True, False)}
+    model.background = min(math.log(max(1 - share[True], 1e-3) / max(1 - share[False], 1e-3)), -0.005)
+    cold = np.array([w for r in rows if r[0] == 0 for w in r[5]])
+    n = max(sum(r[2] for r in rows if r[0] == 0), 1)
+    low, high = 1e-3, 5.0
+    mass = lambda d: float(np.exp(d * cold).sum() / n + (1 - len(cold) / n) * math.exp(d * model.background))
+    for _ in range(60):  # the decay at which the moment generating function of clean scores is one
         low, high = ((low + high) / 2, high) if mass((low + high) / 2) < 1 else (low, (low + high) / 2)
-    model = Model(hashes[order], weights[order], background, max(low, 0.05))
-    schema = "toxic int, best double, n long, a double, b double"
-    rows = texts.mapInArrow(_sample_scores(model), schema).where("toxic = 0").select("best", "n").collect()
-    fit = [model.decay * r["best"] - math.log(max(r["n"], 1)) for r in rows if r["n"]]
+    model.decay = min(max(low, 0.1), 1.0)
+    fit = [model.decay * r[1] - math.log(max(r[2], 1)) for r in scored() if r[0] == 0 and r[2]]
     model.log_k = float(np.mean(fit)) - EULER if fit else 0.0
-    rows = texts.mapInArrow(_sample_scores(model), schema).collect()
-    rows.sort()
-    model.curve = tuple(_logistic(np.array([[r["a"], r["b"]] for r in rows]), np.array([r["toxic"] > 0 for r in rows], float)))
+    rows = scored()
+    model.curve = tuple(_logistic(np.array([[r[3], r[4]] for r in rows]), np.array([r[0] > 0 for r in rows], float)))
     return model
 
 

@@ -63,15 +63,31 @@ class Words:
     def doc_of_word(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
+    def _sums(self, seed: int) -> np.ndarray:
+        prefix = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum(_BYTE[seed][self.data] * powers(seed, False, len(self.data)), out=prefix[1:])
+        return prefix
+
     def hashes(self, seed: int = 0) -> np.ndarray:
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        prefix = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_BYTE[seed][self.data] * powers(seed, False, len(self.data)), out=prefix[1:])
+        prefix = self._sums(seed)
         h = prefix[self.end] - prefix[self.start]
         h *= powers(seed, True, len(self.data))[self.start]
         return mix(h + (self.end - self.start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
+    def beginnings(self, sizes: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each size: the words longer than that many bytes, and the hash of their first bytes."""
+        if not len(self.start):
+            return [(np.zeros(0, np.int64), np.zeros(0, np.uint64)) for _ in sizes]
+        prefix, back = self._sums(0), powers(0, True, len(self.data))
+        out = []
+        for k in sizes:
+            at = np.flatnonzero(self.end - self.start > k)
+            low = self.start[at]
+            out.append((at, mix((prefix[low + k] - prefix[low]) * back[low] + np.uint64(0x4963EE407 * k))))
+        return out
+
 
 def runs_hash(words: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     """The hash of each ``length`` consecutive entries."""
