@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from fathomline.plans import alignment, base, cleaning, evaluation, graphs, samples, spectra
+from fathomline.plans.evaluation import flagship
+
+__all__ = ["alignment", "cleaning", "evaluation", "flagship", "graphs", "oracle_sql", "queries", "samples", "spectra"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return dict(base.SQL)
