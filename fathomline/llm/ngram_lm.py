@@ -297,45 +297,80 @@ def _scorer(model: Automaton, buckets: int):
     return score
 
 
-SUMS = "row_key long, doc_id long, held_out boolean, rows int, tokens long, known long, base double, score double, tail double"
+PART = np.dtype([("row", "<i8"), ("hits", "<i8"), ("tail", "<f8")])
+TOTALS = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
-def _answer(batches):
-    """Rows of a partition, by bucket and kind: counts first, then requests; documents pass through."""
-    here, known = None, np.zeros(0, COUNTED)
-    keys, values, hits = [], [], []
+def _answerer(buckets: int):
+    """Rows of a partition, by bucket and kind: counts first, then requests; documents pass through. Sums are dealt by
+    document, packed."""
+
+    def answer(batches):
+        here, known = None, np.zeros(0, COUNTED)
+        parts = []
+        for batch in batches:
+            for bucket, kind, blob in zip(column(batch, "bucket").to_pylist(), column(batch, "kind").to_pylist(), column(batch, "blob"), strict=True):
+                if bucket != here:
+                    here, known = bucket, np.zeros(0, COUNTED)
+                if kind == 0:
+                    known = np.frombuffer(blob.as_buffer(), COUNTED)
+                elif kind == 1:
+                    asked = np.frombuffer(blob.as_buffer(), ASKED)
+                    count = np.zeros(len(asked))
+                    if len(known):
+                        k = np.minimum(np.searchsorted(known["key"], asked["key"]), len(known) - 1)
+                        count = np.where(known["key"][k] == asked["key"], known["n"][k], 0)
+                    part = np.empty(len(asked), PART)
+                    part["row"], part["hits"], part["tail"] = asked["row"], np.where(count > 0, asked["n"], 0), asked["n"] * np.log10(count + SMOOTH)
+                    parts.append(part)
+                else:
+                    yield from _by_document(np.frombuffer(blob.as_buffer(), DOCUMENT), 1, buckets)
+        if parts:
+            yield from _by_document(_summed(np.concatenate(parts)), 0, buckets)
+
+    return answer
+
+
+def _summed(parts: np.ndarray) -> np.ndarray:
+    """PART records of equal row added up, ascending by row."""
+    parts = parts[np.argsort(parts["row"], kind="stable")]
+    if not len(parts):
+        return parts
+    at = np.flatnonzero(np.r_[True, parts["row"][1:] != parts["row"][:-1]])
+    out = np.empty(len(at), PART)
+    out["row"], out["hits"], out["tail"] = parts["row"][at], np.add.reduceat(parts["hits"], at), np.add.reduceat(parts["tail"], at)
+    return out
+
+
+def _by_document(record: np.ndarray, kind: int, buckets: int):
+    bucket = record["row"].astype(np.uint64) % np.uint64(buckets)
+    record = record[np.argsort(bucket, kind="stable")]
+    cuts = np.searchsorted(np.sort(bucket), np.arange(buckets + 1, dtype=np.uint64))
+    used = np.flatnonzero(np.diff(cuts))
+    yield _rows(used, kind, [record[cuts[b] : cuts[b + 1]].tobytes() for b in used.tolist()])
+
+
+def _total(batches):
+    """A row for each document of the partition. Documents of equal row key are copies; each has its share of their sums."""
+    docs, parts = [], []
     for batch in batches:
-        for bucket, kind, blob in zip(column(batch, "bucket").to_pylist(), column(batch, "kind").to_pylist(), column(batch, "blob"), strict=True):
-            if bucket != here:
-                here, known = bucket, np.zeros(0, COUNTED)
-            if kind == 0:
-                known = np.frombuffer(blob.as_buffer(), COUNTED)
-            elif kind == 1:
-                asked = np.frombuffer(blob.as_buffer(), ASKED)
-                count = np.zeros(len(asked))
-                if len(known):
-                    k = np.minimum(np.searchsorted(known["key"], asked["key"]), len(known) - 1)
-                    count = np.where(known["key"][k] == asked["key"], known["n"][k], 0)
-                keys.append(asked["row"])
-                values.append(asked["n"] * np.log10(count + SMOOTH))
-                hits.append(np.where(count > 0, asked["n"], 0))
-            else:
-                d = np.frombuffer(blob.as_buffer(), DOCUMENT)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(d["row"]), pa.array(d["doc_id"], mask=d["no_id"]), pa.array(d["out"]), pa.array(np.ones(len(d), np.int32)), pa.array(d["tokens"]), pa.array(d["known"]), pa.array(d["base"]), pa.array(d["score"]), pa.array(np.zeros(len(d)))],
-                    names=[x.split()[0] for x in SUMS.split(", ")],
-                )
-    if keys:
-        key, value, hit = np.concatenate(keys), np.concatenate(values), np.concatenate(hits)
-        order = np.argsort(key, kind="stable")
-        key, value, hit = key[order], value[order], hit[order]
-        at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        n = len(at)
-        none = lambda t: pa.nulls(n, t)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[at]), none(pa.int64()), none(pa.bool_()), pa.array(np.zeros(n, np.int32)), none(pa.int64()), pa.array(np.add.reduceat(hit, at).astype(np.int64)), none(pa.float64()), none(pa.float64()), pa.array(np.add.reduceat(value, at))],
-            names=[x.split()[0] for x in SUMS.split(", ")],
-        )
+        for kind, blob in zip(column(batch, "kind").to_pylist(), column(batch, "blob"), strict=True):
+            (docs if kind else parts).append(np.frombuffer(blob.as_buffer(), DOCUMENT if kind else PART))
+    if not docs:
+        return
+    d = np.concatenate(docs)
+    p = _summed(np.concatenate(parts) if parts else np.zeros(0, PART))
+    rows, copies = np.unique(d["row"], return_counts=True)
+    copies = copies[np.searchsorted(rows, d["row"])]
+    tail, hits = np.zeros(len(d)), np.zeros(len(d), np.int64)
+    if len(p):
+        k = np.minimum(np.searchsorted(p["row"], d["row"]), len(p) - 1)
+        has = p["row"][k] == d["row"]
+        tail, hits = np.where(has, p["tail"][k] / copies, 0.0), np.where(has, p["hits"][k] // copies, 0)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(d["doc_id"], mask=d["no_id"]), pa.array(d["out"]), pa.array(d["tokens"]), pa.array(d["known"] + hits), pa.array(d["base"] + tail), pa.array(d["score"] + tail)],
+        names=[x.split()[0] for x in TOTALS.split(", ")],
+    )
 
 
 def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
@@ -361,19 +396,8 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
     model = build(words, n2, n3, grams, bottom)
     asked = texts.mapInArrow(_scorer(model, buckets), schema)
     both = asked.unionByName(vocabulary.select("bucket", F.lit(0).alias("kind"), "blob"))
-    sums = both.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_answer, SUMS)
-    each = sums.groupBy("row_key").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("rows").cast("int").alias("rows"), F.max("tokens").alias("n_tokens"),
-        F.max(F.when(F.col("rows") > 0, F.col("known"))).alias("known"), F.coalesce(F.sum(F.when(F.col("rows") == 0, F.col("known"))), F.lit(0)).alias("tail_known"),
-        F.max("base").alias("base"), F.max("score").alias("score"), F.sum("tail").alias("tail"),
-    )
+    sums = both.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_answerer(buckets), schema)
+    each = sums.repartition("bucket").mapInArrow(_total, TOTALS)
     return each.select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.expr("tail_known DIV rows")).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("tail") / F.col("rows") - F.col("n_tokens") * bottom).alias("base_score"),
-        (F.col("score") + F.col("tail") / F.col("rows")).alias("score"),
-        F.explode(F.array_repeat(F.lit(0), F.col("rows"))).alias("copy"),
-    ).drop("copy")
-
-
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * bottom).alias("base_score"), "score"
+    )
