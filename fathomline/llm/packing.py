@@ -1,17 +1,18 @@
 """Packing by best-fit decreasing with a segment tree over remaining capacity.
 
-Tokenising is one map pass that emits piece metadata only (a few numbers a document); ids never shuffle. White space is
-dropped by the tokenizer and nothing crosses it, so each distinct word of a chunk is encoded once and documents are put
-together from the words' ids. Overlong documents are first cut into full windows. The remaining pieces are dealt to
+Tokenising is one map pass that emits piece metadata only (a few numbers a document); ids never shuffle. The tokenizer
+drops white space and joins nothing across it, nor across the border of ASCII letters, marks and digits, so each distinct
+part of a word is encoded once and documents are put together from the parts' ids. Overlong documents are first cut into full windows. The remaining pieces are dealt to
 shards of bounded size by a hash of the piece; each shard packs itself, so padding is at most part of its last windows.
 """
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -22,17 +23,27 @@ from fathomline.llm.wordvec import chunks, column, ranges, tokenise
 
 #: Tokens of leftover pieces in a shard, about; it bounds a packing task and the padding share.
 SHARD_TOKENS = 8_000_000
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+#: A part that the tokenizer takes as one piece: letters up to U+00FF, or ASCII without letters and digits.
+_ONE = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[0-9]|[!-&(-/:-@\\[-`{-~]+")
+#: Begins the text of a special token, which the tokenizer takes whole; such documents are encoded as they are.
+SPECIAL = "<|"
+
+
 class WordEncoder:
-    """Ids of texts, one white-space-delimited word at a time, with a bounded memo of words seen."""
+    """Ids of texts, one part of a word at a time, with a bounded memo of parts seen."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
+        self.last[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         self._reset()
 
     def _reset(self):
@@ -40,23 +51,45 @@ class WordEncoder:
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.at = [0]
 
-    def _learn(self, words: list[str]):
-        new = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        flat = np.concatenate(new) if new else np.zeros(0, np.uint32)
+    def _learn(self, parts: list[str]):
+        one = [w for w in parts if _ONE.fullmatch(w)]
+        rest = [w for w in parts if not _ONE.fullmatch(w)]
+        joined = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([" ".join(one[k : k + 2000]) for k in range(0, len(one), 2000)], add_special_tokens=False)]
+        flat = np.concatenate(joined) if joined else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(self.last[flat]) + 1
+        if len(ends) != len(one):  # not one end for each: take them one by one
+            one, rest, flat, ends = [], parts, flat[:0], ends[:0]
+        alone = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        flat = np.concatenate([flat, *alone])
+        ends = np.r_[ends, (ends[-1] if len(ends) else 0) + np.cumsum([len(x) for x in alone], dtype=np.int64)].astype(np.int64)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
-        for w, x in zip(words, new, strict=True):
+        for w, end in zip([*one, *rest], (ends + self.used).tolist(), strict=True):
             self.place[w] = len(self.at) - 1
-            self.at.append(self.at[-1] + len(x))
+            self.at.append(end)
+        self.used += len(flat)
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids and where each document's begin (with one more entry at the end)."""
-        words = tokenise(texts)
-        # the words as one Arrow column: their bytes without the gaps between them
+        """All ids, each text's followed by ``end_id``, and where each text's begin (with one more entry at the end)."""
+        odd = pc.fill_null(pc.match_substring(texts, SPECIAL), False)
+        if pc.any(odd).as_py():
+            each = []
+            for text, whole in zip(texts, odd.to_pylist(), strict=True):
+                ids = self.tokenizer.encode(text.as_py(), add_special_tokens=False).ids if whole else self._encode(pa.array([text.as_py()], pa.string()), end_id)[0][:-1]
+                each.append(np.append(np.array(ids, np.uint32), np.uint32(end_id)))
+            return np.concatenate(each), np.r_[0, np.cumsum([len(x) for x in each])]
+        return self._encode(texts, end_id)
+
+    def _encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        words = tokenise(texts, parts=True)
+        # the parts as one Arrow column: their bytes without the gaps between them, A-Z lower-cased where all are ASCII
         size = words.end - words.start
+        wide = np.zeros(len(words.data) + 1, np.int64)
+        np.cumsum(words.data >= 128, out=wide[1:])
+        plain = wide[words.end] == wide[words.start]
         data = words.data[np.repeat(words.start, size) + ranges(size)] if len(size) else np.zeros(0, np.uint8)
+        data = data + np.uint8(32) * (np.repeat(plain, size) & (data >= 65) & (data <= 90)).astype(np.uint8)
         offsets = np.zeros(len(size) + 1, np.int32)
         np.cumsum(size, out=offsets[1:])
         coded = pc.dictionary_encode(pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
@@ -73,10 +106,11 @@ class WordEncoder:
         before = np.zeros(len(counts) + 1, np.int64)
         np.cumsum(counts, out=before[1:])
         docs = np.arange(len(words.first))
-        first = before[words.first] + docs  # one end id before each later document
+        first = before[words.first] + docs  # one end id before each later text
         out = np.empty(int(first[-1]), np.uint32)
         doc = words.doc_of_word()
-        out[np.repeat(before[:-1] + doc, counts) + ranges(counts)] = self.ids[np.repeat(begin[code], counts) + ranges(counts)] if len(code) else 0
+        if len(code):
+            out[np.repeat(before[:-1] + doc, counts) + ranges(counts)] = self.ids[np.repeat(begin[code], counts) + ranges(counts)]
         out[first[1:] - 1] = end_id
         return out, first
 
@@ -149,12 +183,11 @@ def best_fit_decreasing(lengths: list[int], window: int) -> tuple[list[int], lis
 
 
 def _packer(window: int):
-    def pack(key, pieces: pd.DataFrame) -> pd.DataFrame:
-        pieces = pieces.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
-        where, offset = best_fit_decreasing(pieces["length"].tolist(), window)
-        pieces["sequence_id"] = (np.int64(key[0]) << 32) + np.array(where, np.int64)
-        pieces["offset"] = np.array(offset, np.int64)
-        return pieces.drop(columns="shard")
+    def pack(key, pieces):
+        pieces = pieces.drop_columns(["shard"]).sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        where, offset = best_fit_decreasing(pieces["length"].to_pylist(), window)
+        base = key[0].as_py() << 32
+        return pieces.append_column("sequence_id", pa.array([base + w for w in where], pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
 
     return pack
 
@@ -173,6 +206,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = 2048, end
     shards = int(-(-tokens // SHARD_TOKENS)) or 1
     dealt = partial.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "length", "ids_crc32"), F.lit(shards)))
     schema = f"{PIECES}, sequence_id long, offset long"
-    packed = dealt.groupBy("shard").applyInPandas(_packer(window), schema)
+    packed = dealt.groupBy("shard").applyInArrow(_packer(window), schema)
     whole = pieces.where(F.col("length") == window).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
     return whole.unionByName(packed)

@@ -114,8 +114,18 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def tokenise(column: pa.Array, lower: bool = False, items: bool = False) -> Words:
-    """Words of each text; ``lower`` lower-cases A-Z, ``items`` also ends words at ASCII punctuation."""
+#: Byte classes between which a word may be cut where no tokenizer of letters, digits and marks joins them: ASCII letters,
+#: marks but the apostrophe, digits. Class 0 (the apostrophe and all bytes beyond ASCII) is never cut off.
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[33:127] = 2
+_CLASS[list(range(65, 91)) + list(range(97, 123))] = 1
+_CLASS[48:58] = 3
+_CLASS[39] = 0
+
+
+def tokenise(column: pa.Array, lower: bool = False, items: bool = False, parts: bool = False) -> Words:
+    """Words of each text; ``lower`` lower-cases A-Z, ``items`` also ends words at ASCII punctuation, ``parts`` cuts words
+    between ASCII letters, marks and digits, and between digits."""
     data, offsets = text_bytes(column)
     if lower:
         data = _LOWER[data]
@@ -124,10 +134,16 @@ def tokenise(column: pa.Array, lower: bool = False, items: bool = False) -> Word
     before = np.zeros(len(data), bool)
     before[1:] = solid[:-1]
     before[cut] = False
+    if parts and len(data):
+        kind = _CLASS[data]
+        split = (kind[1:] > 0) & (kind[:-1] > 0) & ((kind[1:] != kind[:-1]) | (kind[1:] == 3))
+        before[1:] &= ~split
     start = np.flatnonzero(solid & ~before)
     after = np.zeros(len(data), bool)
     after[:-1] = solid[1:]
     after[cut[cut > 0] - 1] = False
+    if parts and len(data):
+        after[:-1] &= ~split
     end = np.flatnonzero(solid & ~after) + 1
     return Words(data, start, end, np.searchsorted(start, offsets))
 
