@@ -8,11 +8,8 @@ from pyspark.sql import functions as F
 from fathomline.functions.scalars import MICROS_PER_DAY, micros
 from fathomline.operators.grid import KEY
 
-V = F.col("value")
-
-
 def zero_to_null(df: DataFrame) -> DataFrame:
-    return df.withColumn("value", F.nullif(V, F.lit(0.0)))
+    return df.withColumn("value", F.nullif(F.col("value"), F.lit(0.0)))
 
 
 def rolling_stats(df: DataFrame, hours: float = 24) -> DataFrame:
@@ -23,8 +20,8 @@ def rolling_stats(df: DataFrame, hours: float = 24) -> DataFrame:
 
 def drop_rolling_outliers(df: DataFrame, hours: float = 24, width: float = 3, least: int = 5) -> DataFrame:
     """Null what lies outside mean +- width * std of the window; windows of fewer than ``least`` values decide nothing."""
-    far = (F.col("w_n") >= least) & (F.abs(V - F.col("w_mean")) > width * F.col("w_std"))
-    return rolling_stats(df, hours).withColumn("value", F.when(~F.coalesce(far, F.lit(False)), V)).drop("w_mean", "w_std", "w_n")
+    far = (F.col("w_n") >= least) & (F.abs(F.col("value") - F.col("w_mean")) > width * F.col("w_std"))
+    return rolling_stats(df, hours).withColumn("value", F.when(~F.coalesce(far, F.lit(False)), F.col("value"))).drop("w_mean", "w_std", "w_n")
 
 
 def _with(df: DataFrame, **stats) -> DataFrame:
@@ -35,21 +32,21 @@ def drop_iqr_outliers(df: DataFrame, width: float = 2.5) -> DataFrame:
     """One percentile pass for both quartiles; a series without spread or data is left alone."""
     out = _with(df, q=F.percentile("value", F.array(F.lit(0.25), F.lit(0.75))))
     iqr = F.col("q")[1] - F.col("q")[0]
-    far = (iqr > 0) & ((V < F.col("q")[0] - width * iqr) | (V > F.col("q")[1] + width * iqr))
-    return out.withColumn("value", F.when(~F.coalesce(far, F.lit(False)), V)).drop("q")
+    far = (iqr > 0) & ((F.col("value") < F.col("q")[0] - width * iqr) | (F.col("value") > F.col("q")[1] + width * iqr))
+    return out.withColumn("value", F.when(~F.coalesce(far, F.lit(False)), F.col("value"))).drop("q")
 
 
 def drop_far_from_median(df: DataFrame, percent: float = 50, least: int = 10) -> DataFrame:
     """Null what differs from the median by more than ``percent`` of it; not with few values or a median of 0."""
     out = _with(df, mid=F.median("value"), n=F.count("value"))
-    far = (F.col("n") >= least) & (F.col("mid") != 0) & (F.abs(V - F.col("mid")) > F.abs(F.col("mid")) * (percent / 100))
-    return out.withColumn("value", F.when(~F.coalesce(far, F.lit(False)), V)).drop("mid", "n")
+    far = (F.col("n") >= least) & (F.col("mid") != 0) & (F.abs(F.col("value") - F.col("mid")) > F.abs(F.col("mid")) * (percent / 100))
+    return out.withColumn("value", F.when(~F.coalesce(far, F.lit(False)), F.col("value"))).drop("mid", "n")
 
 
 def drop_extreme_quantiles(df: DataFrame, low: float = 0.001, high: float = 0.999, least: int = 10) -> DataFrame:
     out = _with(df, q=F.percentile("value", F.array(F.lit(low), F.lit(high))), n=F.count("value"))
-    far = (F.col("n") >= least) & ((V < F.col("q")[0]) | (V > F.col("q")[1]))
-    return out.withColumn("value", F.when(~F.coalesce(far, F.lit(False)), V)).drop("q", "n")
+    far = (F.col("n") >= least) & ((F.col("value") < F.col("q")[0]) | (F.col("value") > F.col("q")[1]))
+    return out.withColumn("value", F.when(~F.coalesce(far, F.lit(False)), F.col("value"))).drop("q", "n")
 
 
 def drop_empty_series(df: DataFrame) -> DataFrame:

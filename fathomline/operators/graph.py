@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WEIGHT = F.col("weight")
-
-
 def symmetric(edges: DataFrame, place: str, connectivity: bool = False) -> DataFrame:
     """Both directions of each edge; of repeated edges the last by ``place`` wins. ``connectivity`` makes weights 1."""
     both = edges.select("src", "dst", "weight", place, F.lit(0).alias("_way")).unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight", place, F.lit(1).alias("_way")))
@@ -37,30 +34,30 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 def _scaled(edges: DataFrame, power: float, both: bool = True) -> DataFrame:
     d = degrees(edges).select("src", F.when(F.col("degree") > 0, F.pow("degree", F.lit(power))).otherwise(0.0).alias("s"))
-    out = edges.join(d, "src").withColumn("weight", WEIGHT * F.col("s")).drop("s")
+    out = edges.join(d, "src").withColumn("weight", F.col("weight") * F.col("s")).drop("s")
     if both:
-        out = out.join(d.select(F.col("src").alias("dst"), "s"), "dst", "left").withColumn("weight", WEIGHT * F.coalesce("s", F.lit(0.0))).drop("s")
+        out = out.join(d.select(F.col("src").alias("dst"), "s"), "dst", "left").withColumn("weight", F.col("weight") * F.coalesce("s", F.lit(0.0))).drop("s")
     return out.select("src", "dst", "weight")
 
 
 def laplacian(edges: DataFrame) -> DataFrame:
     """I - D^-1/2 A D^-1/2; nodes without edges out keep their diagonal."""
-    return added(diagonal(edges), _scaled(edges, -0.5).withColumn("weight", -WEIGHT))
+    return added(diagonal(edges), _scaled(edges, -0.5).withColumn("weight", -F.col("weight")))
 
 
 def scaled_laplacian(edges: DataFrame, largest: float = 2.0) -> DataFrame:
     """(2 / largest) L - I of the graph made symmetric by the larger of both directions."""
     flipped = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     even = edges.unionByName(flipped).groupBy("src", "dst").agg(F.max("weight").alias("weight"))
-    lap = laplacian(even).withColumn("weight", WEIGHT * (2 / largest))
-    return added(lap, diagonal(edges).withColumn("weight", -WEIGHT))
+    lap = laplacian(even).withColumn("weight", F.col("weight") * (2 / largest))
+    return added(lap, diagonal(edges).withColumn("weight", -F.col("weight")))
 
 
 def largest_eigenvalue(matrix: DataFrame, rounds: int = 30) -> float:
     """Power iteration; each round is one join and two aggregates, and the driver sees one number a round."""
     v, value = nodes(matrix).withColumn("x", 1 + F.pmod(F.col("src") * 7919, F.lit(101)) / 101), 0.0
     for _ in range(rounds):
-        y = matrix.join(v.select(F.col("src").alias("dst"), "x"), "dst").groupBy("src").agg(F.sum(WEIGHT * F.col("x")).alias("x"))
+        y = matrix.join(v.select(F.col("src").alias("dst"), "x"), "dst").groupBy("src").agg(F.sum(F.col("weight") * F.col("x")).alias("x"))
         value = float(y.agg(F.sqrt(F.sum(F.col("x") * F.col("x")))).first()[0] or 0.0)
         if not value:
             return 0.0

@@ -9,13 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-P, T, M = F.col("y_pred"), F.col("y_true"), F.col("mask")
-CELL = [F.col("series_id"), F.col("sample_id")]
+
 SMALL = 5e-5
 
 
 def with_mask(df: DataFrame, mask: Column | None = None) -> DataFrame:
-    return df.withColumn("mask", F.coalesce((T.isNotNull() if mask is None else mask).cast("double"), F.lit(0.0)))
+    return df.withColumn("mask", F.coalesce((F.col("y_true").isNotNull() if mask is None else mask).cast("double"), F.lit(0.0)))
 
 
 def _ratio(top: Column, down: Column) -> Column:
@@ -28,35 +27,35 @@ def _zero(x: Column) -> Column:
 
 def cell_metrics(df: DataFrame, by: list[str]) -> DataFrame:
     """MAE, MSE, RMSE, MAPE, SMAPE, HUBER and the weight (number of valid cells)."""
-    e = P - T
-    big = M * F.coalesce(F.abs(T) > SMALL, F.lit(False)).cast("double")
-    both = F.coalesce((T.isNotNull() & (F.abs(T) > SMALL)), F.lit(False)).cast("double")
-    z = _zero(P) * M - _zero(T) * M
+    e = F.col("y_pred") - F.col("y_true")
+    big = F.col("mask") * F.coalesce(F.abs(F.col("y_true")) > SMALL, F.lit(False)).cast("double")
+    both = F.coalesce((F.col("y_true").isNotNull() & (F.abs(F.col("y_true")) > SMALL)), F.lit(False)).cast("double")
+    z = _zero(F.col("y_pred")) * F.col("mask") - _zero(F.col("y_true")) * F.col("mask")
     return df.groupBy(*by).agg(
-        _ratio(_zero(F.abs(e)) * M, M).alias("mae"),
-        _ratio(_zero(e * e) * M, M).alias("mse"),
-        F.sqrt(_ratio(_zero(e * e) * M, M)).alias("rmse"),
-        _ratio(_zero(F.abs(F.try_divide(e, T))) * big, big).alias("mape"),
-        _ratio(_zero(F.try_divide(F.abs(e), (F.abs(P) + F.abs(T)) / 2)) * both, both).alias("smape"),
+        _ratio(_zero(F.abs(e)) * F.col("mask"), F.col("mask")).alias("mae"),
+        _ratio(_zero(e * e) * F.col("mask"), F.col("mask")).alias("mse"),
+        F.sqrt(_ratio(_zero(e * e) * F.col("mask"), F.col("mask"))).alias("rmse"),
+        _ratio(_zero(F.abs(F.try_divide(e, F.col("y_true")))) * big, big).alias("mape"),
+        _ratio(_zero(F.try_divide(F.abs(e), (F.abs(F.col("y_pred")) + F.abs(F.col("y_true"))) / 2)) * both, both).alias("smape"),
         F.avg(F.when(F.abs(z) < 1, 0.5 * z * z).otherwise(F.abs(z) - 0.5)).alias("huber"),
-        F.sum(M).alias("weight"),
+        F.sum(F.col("mask")).alias("weight"),
     )
 
 
 def mape_unmasked(df: DataFrame, by: list[str]) -> DataFrame:
     """Without a mask the sum is divided by all cells, those of a target near zero included."""
-    big = F.coalesce(F.abs(T) > SMALL, F.lit(False)).cast("double")
-    return df.groupBy(*by).agg((F.sum(_zero(F.abs(F.try_divide(P - T, T))) * big) / F.count(F.lit(1))).alias("mape_all"))
+    big = F.coalesce(F.abs(F.col("y_true")) > SMALL, F.lit(False)).cast("double")
+    return df.groupBy(*by).agg((F.sum(_zero(F.abs(F.try_divide(F.col("y_pred") - F.col("y_true"), F.col("y_true")))) * big) / F.count(F.lit(1))).alias("mape_all"))
 
 
 def horizon_metrics(df: DataFrame, by: list[str], over: list[str] | None = None) -> DataFrame:
     """WAPE, R2 and CORR: along the horizon of each (sample, channel), or along ``over``'s complement, then averaged."""
     inner = ["series_id", "sample_id"] if over is None else over
-    p, t = _zero(P) * M, _zero(T) * M
+    p, t = _zero(F.col("y_pred")) * F.col("mask"), _zero(F.col("y_true")) * F.col("mask")
     n = F.count(F.lit(1))
     sums = df.groupBy(*dict.fromkeys([*by, *inner])).agg(
         F.sum(F.abs(p - t)).alias("ae"), F.sum(F.abs(t)).alias("at"), F.sum((p - t) * (p - t)).alias("se"), (F.sum(t * t) - F.sum(t) * F.sum(t) / n).alias("st"),
-        (n * F.sum(P * T) - F.sum(P) * F.sum(T)).alias("cov"), (n * F.sum(P * P) - F.sum(P) * F.sum(P)).alias("vp"), (n * F.sum(T * T) - F.sum(T) * F.sum(T)).alias("vt"), F.sum(M).alias("m"),
+        (n * F.sum(F.col("y_pred") * F.col("y_true")) - F.sum(F.col("y_pred")) * F.sum(F.col("y_true"))).alias("cov"), (n * F.sum(F.col("y_pred") * F.col("y_pred")) - F.sum(F.col("y_pred")) * F.sum(F.col("y_pred"))).alias("vp"), (n * F.sum(F.col("y_true") * F.col("y_true")) - F.sum(F.col("y_true")) * F.sum(F.col("y_true"))).alias("vt"), F.sum(F.col("mask")).alias("m"),
     )
     spread = F.when((F.col("vp") > 1e-9) & (F.col("vt") > 1e-9), F.sqrt(F.col("vp")) * F.sqrt(F.col("vt")))
     return sums.groupBy(*by).agg(
@@ -67,7 +66,7 @@ def horizon_metrics(df: DataFrame, by: list[str], over: list[str] | None = None)
 
 
 def accuracy(df: DataFrame) -> DataFrame:
-    return df.agg(F.avg((P == T).cast("double")).alias("accuracy"))
+    return df.agg(F.avg((F.col("y_pred") == F.col("y_true")).cast("double")).alias("accuracy"))
 
 
 def meter(df: DataFrame, value: str, weight: str, by: list[str], square: bool = False) -> DataFrame:

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 from fathomline.functions.scalars import finite
 from fathomline.operators.grid import KEY
 
-V = F.col("value")
-
-
 def _fit(df: DataFrame, per_channel: bool, **stats: Column) -> DataFrame:
     train = df.where(F.col("split") == "train")
     return (train.groupBy(KEY) if per_channel else train.groupBy()).agg(*(e.alias(n) for n, e in stats.items()))
@@ -32,20 +29,20 @@ def fit_min_max(df: DataFrame, per_channel: bool = True) -> DataFrame:
 
 def fit_z_safe(df: DataFrame, per_channel: bool = True) -> DataFrame:
     """Finite cells only; without any, mean 0 and deviation 1."""
-    x = finite(V)
+    x = finite(F.col("value"))
     std = F.coalesce(F.nullif(F.stddev_pop(x), F.lit(0.0)), F.lit(1.0))
     return _fit(df, per_channel, mean=F.coalesce(F.avg(x), F.lit(0.0)), std=std)
 
 
 def fit_min_max_safe(df: DataFrame, per_channel: bool = True) -> DataFrame:
-    x = finite(V)
+    x = finite(F.col("value"))
     return _fit(df, per_channel, mean=F.coalesce(F.min(x), F.lit(0.0)), std=F.coalesce(F.nullif(F.max(x) - F.min(x), F.lit(0.0)), F.lit(1.0)))
 
 
 def transform(df: DataFrame, stats: DataFrame, mask: Column | None = None, safe: bool = False) -> DataFrame:
     """scaled: cells outside ``mask`` pass through; ``safe`` turns what is not finite into 0."""
-    x = (V - F.col("mean")) / F.col("std")
-    x = x if mask is None else F.when(mask, x).otherwise(V)
+    x = (F.col("value") - F.col("mean")) / F.col("std")
+    x = x if mask is None else F.when(mask, x).otherwise(F.col("value"))
     return _joined(df, stats).withColumn("scaled", F.coalesce(finite(x), F.lit(0.0)) if safe else x).drop("mean", "std")
 
 
@@ -64,7 +61,7 @@ def instance_norm(df: DataFrame, sample: list[str], subtract_last: bool = False,
     w = Window.partitionBy(*sample)
     centre = F.max_by("value", "t").over(w) if subtract_last else F.avg("value").over(w)
     out = df.withColumns({"centre": centre, "spread": F.sqrt(F.var_pop("value").over(w) + eps)})
-    return out.withColumn("normed", (V - F.col("centre")) / F.col("spread"))
+    return out.withColumn("normed", (F.col("value") - F.col("centre")) / F.col("spread"))
 
 
 def instance_norm_inverse(value: Column) -> Column:
@@ -74,22 +71,22 @@ def instance_norm_inverse(value: Column) -> Column:
 def spatial_norm(df: DataFrame, eps: float = 1e-5) -> DataFrame:
     """Per time step over channels (sample variance)."""
     w = Window.partitionBy("t")
-    return df.withColumn("spatial", (V - F.avg("value").over(w)) / F.sqrt(F.var_samp("value").over(w) + eps))
+    return df.withColumn("spatial", (F.col("value") - F.avg("value").over(w)) / F.sqrt(F.var_samp("value").over(w) + eps))
 
 
 def temporal_norm(df: DataFrame, eps: float = 1e-5) -> DataFrame:
     """Per channel over time (population variance)."""
     w = Window.partitionBy(KEY)
-    return df.withColumn("temporal", (V - F.avg("value").over(w)) / F.sqrt(F.var_pop("value").over(w) + eps))
+    return df.withColumn("temporal", (F.col("value") - F.avg("value").over(w)) / F.sqrt(F.var_pop("value").over(w) + eps))
 
 
 def layer_norm_centred(df: DataFrame, eps: float = 1e-5) -> DataFrame:
     """Layer norm over channels at each step, less its mean over the steps of a channel."""
     w = Window.partitionBy("t")
-    x = df.withColumn("_ln", (V - F.avg("value").over(w)) / F.sqrt(F.var_pop("value").over(w) + eps))
+    x = df.withColumn("_ln", (F.col("value") - F.avg("value").over(w)) / F.sqrt(F.var_pop("value").over(w) + eps))
     return x.withColumn("centred", F.col("_ln") - F.avg("_ln").over(Window.partitionBy(KEY))).drop("_ln")
 
 
 def rms_norm(df: DataFrame, eps: float = 1e-6) -> DataFrame:
     """Over channels at each step."""
-    return df.withColumn("rms", V / F.sqrt(F.avg(V * V).over(Window.partitionBy("t")) + eps))
+    return df.withColumn("rms", F.col("value") / F.sqrt(F.avg(F.col("value") * F.col("value")).over(Window.partitionBy("t")) + eps))
