@@ -19,7 +19,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def small_or_shuffled(df: DataFrame, most: int = 400_000) -> DataFrame:
     """A table of keys for a join: checkpointed, and broadcast only if it has at most ``most`` rows."""
-    df = checkpointed(df)
+    return few_or_shuffled(checkpointed(df), most)
+
+
+def few_or_shuffled(df: DataFrame, most: int = 400_000) -> DataFrame:
+    """The same for a table that is cut from its lineage already."""
     return broadcast(df) if df.count() <= most else df
 
 
