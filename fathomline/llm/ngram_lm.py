@@ -1,12 +1,12 @@
 """Language-model scores by a weighted backoff automaton.
 
-Unigram counts cover every training token and stay distributed (packed by word hash). Words, bigrams and trigrams of at
-least a fixed share of all training tokens become states and arcs; a share s admits at most 1/s of them, so the
-automaton is bounded for any input and is built on the driver: each state holds the discounted log-probabilities of its
-arcs and a failure arc whose weight hands the mass left to the shorter context, so every state's probabilities sum to
-one. One left-to-right pass over a text takes, at each token, an arc if the state has it and failure arcs otherwise;
-the pass runs for all tokens of a chunk at once. Words below the share (the tail) need their exact counts: they are
-requested by word hash in the partition that counts that hash, and only sums return to the documents.
+Words, bigrams and trigrams are counted over every training token and stay distributed by hash; n-grams seen twice are
+arcs. Each state (a word or bigram with arcs) holds the discounted probabilities of its arcs and a failure arc whose
+weight hands the mass left to the shorter context, so every state's probabilities sum to one. An n-gram's weight is what
+its arc adds to the path by the failure arc, and its own failure weight as a context: a text's score is then the sum
+of the weights of all its words, bigrams and trigrams, whatever their order. Weights are requested by hash in the
+partition that holds them, and only sums return to the documents; the most frequent ones, of a fixed share of the corpus
+and so of bounded number, are known to every task and are not requested. That changes the traffic, never a score.
 """
 
 from __future__ import annotations
@@ -22,15 +22,19 @@ from fathomline.llm.shared import checkpointed
 from fathomline.llm.toxicity import held_out
 from fathomline.llm.wordvec import chunks, column, mix, ranges, tokenise
 
-#: Least share of the training tokens of a word that has a number, of one in bigrams, of one in trigrams, and of an arc.
-WORD_SHARE, BIGRAM_SHARE, TRIGRAM_SHARE, ARC_SHARE = 2.0**-17, 2.0**-12, 2.0**-9, 2.0**-19
+#: Least share of the training tokens of a word in bigrams, of one in trigrams, and of an arc: none, two occurrences are enough.
+BIGRAM_SHARE, TRIGRAM_SHARE, ARC_SHARE = 0.0, 0.0, 0.0
+#: Least share of the training tokens of a word and of an n-gram whose weights every task holds.
+WORD_SHARE, GRAM_SHARE = 2.0**-17, 2.0**-19
 DISCOUNT = 0.5
 SMOOTH = 0.1
 END = mix(np.array([0x5E0D], np.uint64))[0]
 FLUSH = 1_000_000
 COUNTED = np.dtype([("key", "<u8"), ("n", "<u4")])
+GRAM = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<u4")])
+WEIGHT = np.dtype([("key", "<u8"), ("own", "<f8"), ("rest", "<f8")])
 ASKED = np.dtype([("key", "<u8"), ("row", "<i8"), ("n", "<u4")])
-DOCUMENT = np.dtype([("row", "<i8"), ("doc_id", "<i8"), ("no_id", "?"), ("out", "?"), ("tokens", "<i8"), ("known", "<i8"), ("base", "<f8"), ("score", "<f8")])
+DOCUMENT = np.dtype([("row", "<i8"), ("doc_id", "<i8"), ("no_id", "?"), ("out", "?"), ("tokens", "<i8"), ("known", "<i8"), ("own", "<f8"), ("rest", "<f8")])
 
 
 class Lookup:
@@ -71,22 +75,57 @@ def _stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
-def _sum(parts: list[np.ndarray]) -> np.ndarray:
-    """COUNTED records with equal keys added up, ascending by key."""
-    all_ = np.concatenate(parts) if parts else np.zeros(0, COUNTED)
-    all_ = all_[np.argsort(all_["key"], kind="stable")]
-    if not len(all_):
-        return all_
-    at = np.flatnonzero(np.r_[True, all_["key"][1:] != all_["key"][:-1]])
-    out = np.empty(len(at), COUNTED)
-    out["key"], out["n"] = all_["key"][at], np.minimum(np.add.reduceat(all_["n"].astype(np.int64), at), 0xFFFFFFFF)
+def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Keys of n-grams from those of the (n-1)-grams at their two ends; even, where those of words are odd."""
+    return mix(left * _ODD + mix(right)) & ~np.uint64(1)
+
+
+def _grams(stream: np.ndarray, first: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places and keys of the words, bigrams and trigrams that end there; none crosses texts."""
+    place = np.arange(len(stream)) - np.repeat(first[:-1], np.diff(first))
+    one = stream | np.uint64(1)
+    two = np.zeros(len(one), np.uint64)
+    at2, at3 = np.flatnonzero(place >= 1), np.flatnonzero(place >= 2)
+    two[at2] = _joined(one[at2 - 1], one[at2])
+    return [(np.arange(len(one)), one), (at2, two[at2]), (at3, _joined(two[at3 - 1], two[at3]))]
+
+
+def _ends(stream: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """GRAM records, not yet added up, of the words (in ``left``), bigrams and trigrams."""
+    (_, one), (at2, key2), (at3, _) = _grams(stream, first)
+    two = np.zeros(len(one), np.uint64)
+    two[at2] = key2
+    out = []
+    for left, right in ((one, np.zeros(len(one), np.uint64)), (one[at2 - 1], one[at2]), (two[at3 - 1], two[at3])):
+        record = np.empty(len(left), GRAM)
+        record["left"], record["right"], record["n"] = left, right, 1
+        out.append(record)
     return out
 
 
-def _dealt(record: np.ndarray, kind: int, buckets: int) -> pa.RecordBatch:
-    bucket = (record["key"] >> np.uint64(48)) % np.uint64(buckets)
-    record = record[np.argsort(bucket, kind="stable")]
-    cuts = np.searchsorted(np.sort(bucket), np.arange(buckets + 1, dtype=np.uint64))
+def _keys(record: np.ndarray, order: int) -> np.ndarray:
+    return record["left"].copy() if order == 1 else _joined(record["left"], record["right"])
+
+
+def _sum(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, ascending, and GRAM records with equal keys added up."""
+    all_ = np.concatenate(parts) if parts else np.zeros(0, GRAM)
+    key = _keys(all_, order)
+    by = np.argsort(key)
+    key, all_ = key[by], all_[by]
+    if not len(all_):
+        return key, all_
+    at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    out = all_[at]
+    out["n"] = np.minimum(np.add.reduceat(all_["n"].astype(np.int64), at), 0xFFFFFFFF)
+    return key[at], out
+
+
+def _dealt(key: np.ndarray, record: np.ndarray, kind: int, buckets: int) -> pa.RecordBatch:
+    bucket = (key >> np.uint64(48)) % np.uint64(buckets)
+    by = np.argsort(bucket, kind="stable")
+    record, bucket = record[by], bucket[by]
+    cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
     used = np.flatnonzero(np.diff(cuts))
     blobs = [record[cuts[b] : cuts[b + 1]].tobytes() for b in used.tolist()]
     return _rows(used, kind, blobs)
@@ -96,77 +135,87 @@ def _rows(buckets, kind: int, blobs: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array([kind] * len(blobs), pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "kind", "blob"])
 
 
-def _counts(keys_of, buckets: int):
-    """Keys of each text's token stream, counted within the task before they are dealt."""
+def _counts(buckets: int):
+    """N-grams of each text's token stream, counted within the task before they are dealt."""
 
     def count(batches):
-        held, size = [], 0
+        held, size = {1: [], 2: [], 3: []}, {1: 0, 2: 0, 3: 0}
         for batch in chunks(batches):
-            for keys in keys_of(*_stream(column(batch, "text"))):
-                keys = np.sort(keys)
-                if len(keys):
-                    at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-                    part = np.empty(len(at), COUNTED)
-                    part["key"], part["n"] = keys[at], np.diff(np.append(at, len(keys)))
-                    held.append(part)
-                    size += len(part)
-            if size >= FLUSH:
-                held = [_sum(held)]
-                size = len(held[0])
-                if size >= FLUSH // 2:
-                    yield _dealt(held[0], 0, buckets)
-                    held, size = [], 0
-        if size:
-            yield _dealt(_sum(held), 0, buckets)
+            for order, record in enumerate(_ends(*_stream(column(batch, "text"))), 1):
+                part = _sum([record], order)[1]
+                held[order].append(part)
+                size[order] += len(part)
+                if size[order] >= FLUSH:
+                    key, part = _sum(held[order], order)
+                    held[order], size[order] = [part], len(part)
+                    if len(part) >= FLUSH // 2:
+                        yield _dealt(key, part, order, buckets)
+                        held[order], size[order] = [], 0
+        for order in held:
+            if size[order]:
+                yield _dealt(*_sum(held[order], order), order, buckets)
 
     return count
 
 
-def _reduce(least: int):
-    def reduce(batches):
-        parts: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for bucket, blob in zip(column(batch, "bucket").to_pylist(), column(batch, "blob"), strict=True):
-                parts.setdefault(bucket, []).append(np.frombuffer(blob.as_buffer(), COUNTED))
-        for bucket, held in parts.items():
-            total = _sum(held)
-            total = total[total["n"] >= least]
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([len(total)], pa.int64()), pa.array([int(total["n"].astype(np.int64).sum())], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["bucket", "types", "tokens", "blob"])
+COUNTS = "kind int, key long, left long, right long, n long"
 
-    return reduce
-
-
-def _at_least(least: int):
-    def keep(batches):
-        for batch in batches:
-            for blob in column(batch, "blob"):
-                record = np.frombuffer(blob.as_buffer(), COUNTED)
-                record = record[record["n"] >= least]
-                if len(record):
-                    yield pa.RecordBatch.from_arrays([pa.array([record.tobytes()], pa.binary())], names=["blob"])
-
-    return keep
 
+def _reduce(batches):
+    """Counts of the words and of the n-grams that occur twice."""
+    parts: dict[tuple[int, int], list[np.ndarray]] = {}
+    for batch in batches:
+        for bucket, kind, blob in zip(column(batch, "bucket").to_pylist(), column(batch, "kind").to_pylist(), column(batch, "blob"), strict=True):
+            parts.setdefault((bucket, kind), []).append(np.frombuffer(blob.as_buffer(), GRAM))
+    for (_, kind), held in parts.items():
+        key, total = _sum(held, kind)
+        keep = total["n"] >= (1 if kind == 1 else 2)
+        key, total = key[keep], total[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (key, total["left"], total["right"])), pa.array(total["n"].astype(np.int64))], names=["kind", "key", "left", "right", "n"])
+
+
+def _weights(counts: DataFrame, least: int, bottom: float) -> DataFrame:
+    """kind, key, n, own, rest: log10(c + 0.1) of words, and what each word, bigram and trigram adds to the score besides."""
+    grams = lambda kind: counts.where(f"kind = {kind}" + (f" AND n >= {least}" if kind > 1 else ""))
+    ended = lambda df, ends, low: (
+        df.join(ends.select(F.col("key").alias("left"), F.col("n").alias("n_left")), "left")
+        .join(ends.select(F.col("key").alias("right"), low.alias("low")), "right")
+        .select("key", "left", "n", ((F.col("n") - DISCOUNT) / F.col("n_left")).alias("p"), "low")
+    )
+    fail = lambda df: df.groupBy("left").agg(F.log10((1 - F.sum("p")) / (1 - F.sum("low"))).alias("fail"))
+    words = grams(1).select("key", "n")
+    two = checkpointed(ended(grams(2), words, (F.col("n") + SMOOTH) / 10**bottom))
+    three = checkpointed(ended(grams(3), two, F.col("p")))
+    fail1, fail2 = checkpointed(fail(two)), checkpointed(fail(three))
+    beyond = lambda df, f: df.join(f, "left").withColumn("arc", F.log10("p") - F.log10("low") - F.col("fail")).drop("fail")
+    context = lambda df, f: df.join(f.withColumnRenamed("left", "key"), "key", "left").withColumn("fail", F.coalesce("fail", F.lit(0.0)))
+    shaped = lambda df, kind, own, rest: df.select(F.lit(kind).alias("kind"), "key", "n", own.alias("own"), rest.alias("rest"))
+    none = F.lit(0.0)
+    return (
+        shaped(context(words, fail1), 1, F.log10(F.col("n") + SMOOTH), F.col("fail"))
+        .unionByName(shaped(context(beyond(two, fail1), fail2), 2, none, F.col("arc") + F.col("fail")))
+        .unionByName(shaped(beyond(three, fail2), 3, none, F.col("arc")))
+    )
 
-def _gathered(counted: DataFrame, least: int) -> np.ndarray:
-    """Records of at least ``least``; their number is bounded by the inverse of the share that ``least`` stands for."""
-    blobs = [r["blob"] for r in counted.select("blob").mapInArrow(_at_least(least), "blob binary").collect()]
-    record = np.frombuffer(b"".join(blobs), COUNTED)
-    return record[np.lexsort((record["key"], -record["n"].astype(np.int64)))]
 
+def _packed(buckets: int):
+    def pack(batches):
+        for batch in batches:
+            if batch.num_rows:
+                record = np.empty(batch.num_rows, WEIGHT)
+                record["key"] = column(batch, "key").to_numpy(zero_copy_only=False).view(np.uint64)
+                for name in ("own", "rest"):
+                    record[name] = column(batch, name).to_numpy(zero_copy_only=False)
+                yield _dealt(record["key"].copy(), record, 0, buckets)
 
-def _gram_keys(words: Lookup, n2: int, n3: int):
-    """Keys of bigrams and trigrams: numbers of their words, smaller than n2 and n3, in one integer; see _key2, _key3."""
+    return pack
 
-    def keys(stream: np.ndarray, first: np.ndarray):
-        w = words.find(stream).astype(np.int64)
-        v, u = _before(w, first, 1), _before(w, first, 2)
-        two = (v >= 0) & (w >= 0) & (v < n2) & (w < n2)
-        yield _key2(v[two], w[two])
-        three = (u >= 0) & (v >= 0) & (w >= 0) & (u < n3) & (v < n3) & (w < n3)
-        yield _key3(u[three], v[three], w[three])
 
-    return keys
+def _frequent(weights: DataFrame, total: int) -> tuple[Lookup, np.ndarray, np.ndarray]:
+    """Weights of the words and n-grams of the shares above; their number is bounded by the inverse of the shares."""
+    table = weights.where(F.col("n") >= F.when(F.col("kind") == 1, max(2, total * WORD_SHARE)).otherwise(max(2, total * GRAM_SHARE))).select("key", "own", "rest").toArrow()
+    key, own, rest = (table.column(c).to_numpy() for c in ("key", "own", "rest"))
+    return Lookup(np.ascontiguousarray(key).view(np.uint64)), own, rest
 
 
 def _before(w: np.ndarray, first: np.ndarray, step: int) -> np.ndarray:
@@ -197,6 +246,8 @@ def _spread(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Automaton:
+    """The same model as one table in memory, run from left to right."""
+
     words: Lookup  # numbered words, most frequent first
     counts: np.ndarray  # of each
     n2: int
@@ -261,68 +312,91 @@ def build(words: np.ndarray, n2: int, n3: int, grams: np.ndarray, bottom: float)
     return Automaton(Lookup(words["key"].copy()), counts, n2, n3, arcs2, logs2, fail1, Lookup(key3), np.log10(p3), Lookup(arcs2.keys[state]), fail2, bottom)
 
 
-def _scorer(model: Automaton, buckets: int):
+UNKNOWN = float(np.log10(SMOOTH))
+
+
+def _scorer(frequent: tuple[Lookup, np.ndarray, np.ndarray], buckets: int):
+    """Sums of each document over the frequent weights, all other words as unknown, and requests for what is not frequent."""
+    lookup, own, rest = frequent
+
     def score(batches):
         held, size = [], 0
         for batch in chunks(batches):
             stream, first = _stream(column(batch, "text"))
-            w, own, logs = model.run(stream, first)
-            starts = first[:-1]
             row = column(batch, "row_key").to_numpy(zero_copy_only=False).astype(np.int64)
             doc_id = column(batch, "doc_id")
-            record = np.empty(batch.num_rows, DOCUMENT)
+            record = np.zeros(batch.num_rows, DOCUMENT)
             record["row"], record["no_id"] = row, doc_id.is_null().to_numpy(zero_copy_only=False)
             record["doc_id"] = pa.compute.fill_null(doc_id, 0).to_numpy(zero_copy_only=False)
             record["out"] = column(batch, "held_out").to_numpy(zero_copy_only=False)
             record["tokens"] = np.diff(first)
-            record["known"] = np.add.reduceat((w >= 0).astype(np.int64), starts)
-            record["base"], record["score"] = np.add.reduceat(own, starts), np.add.reduceat(logs, starts)
+            doc_of = np.repeat(np.arange(batch.num_rows), np.diff(first))
+            for order, (at, key) in enumerate(_grams(stream, first), 1):
+                k, doc = lookup.find(key), doc_of[at]
+                here, far = np.flatnonzero(k >= 0), np.flatnonzero(k < 0)
+                record["rest"] += np.bincount(doc[here], rest[k[here]], batch.num_rows)
+                if order == 1:
+                    record["known"] = np.bincount(doc[here], minlength=batch.num_rows)
+                    record["own"] = np.bincount(doc[here], own[k[here]], batch.num_rows) + UNKNOWN * np.bincount(doc[far], minlength=batch.num_rows)
+                key, doc = key[far], doc[far]
+                by = np.argsort(key + mix(doc.astype(np.uint64)))
+                key, doc = key[by], doc[by]
+                if len(key):
+                    at = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])
+                    asked = np.empty(len(at), ASKED)
+                    asked["key"], asked["row"], asked["n"] = key[at], row[doc[at]], np.diff(np.append(at, len(key)))
+                    held.append(asked)
+                    size += len(asked)
             yield _rows([int(row[0] % buckets)], 2, [record.tobytes()])
-            tail = np.flatnonzero(w < 0)
-            doc = np.searchsorted(first, tail, "right") - 1
-            order = np.lexsort((stream[tail], doc))
-            key, doc = stream[tail][order], doc[order]
-            if len(key):
-                at = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])
-                asked = np.empty(len(at), ASKED)
-                asked["key"], asked["row"], asked["n"] = key[at], row[doc[at]], np.diff(np.append(at, len(key)))
-                held.append(asked)
-                size += len(asked)
             if size >= FLUSH:
-                yield _dealt(np.concatenate(held), 1, buckets)
+                asked = np.concatenate(held)
+                yield _dealt(asked["key"].copy(), asked, 1, buckets)
                 held, size = [], 0
         if size:
-            yield _dealt(np.concatenate(held), 1, buckets)
+            asked = np.concatenate(held)
+            yield _dealt(asked["key"].copy(), asked, 1, buckets)
 
     return score
 
 
-PART = np.dtype([("row", "<i8"), ("hits", "<i8"), ("tail", "<f8")])
-TOTALS = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
+PART = np.dtype([("row", "<i8"), ("hits", "<i8"), ("own", "<f8"), ("rest", "<f8")])
+TOTALS = "doc_id long, held_out boolean, n_tokens long, n_known long, own double, rest double"
 
 
 def _answerer(buckets: int):
-    """Rows of a partition, by bucket and kind: counts first, then requests; documents pass through. Sums are dealt by
+    """Rows of a partition, by bucket and kind: weights first, then requests; documents pass through. Sums are dealt by
     document, packed."""
 
     def answer(batches):
-        here, known = None, np.zeros(0, COUNTED)
-        parts = []
+        here, loose, known = None, [], np.zeros(0, WEIGHT)
+        parts, size = [], 0
         for batch in batches:
             for bucket, kind, blob in zip(column(batch, "bucket").to_pylist(), column(batch, "kind").to_pylist(), column(batch, "blob"), strict=True):
                 if bucket != here:
-                    here, known = bucket, np.zeros(0, COUNTED)
+                    here, loose, known = bucket, [], np.zeros(0, WEIGHT)
                 if kind == 0:
-                    known = np.frombuffer(blob.as_buffer(), COUNTED)
+                    loose.append(np.frombuffer(blob.as_buffer(), WEIGHT))
                 elif kind == 1:
-                    asked = np.frombuffer(blob.as_buffer(), ASKED)
-                    count = np.zeros(len(asked))
+                    if loose:
+                        known, loose = np.concatenate(loose), []
+                        known = known[np.argsort(known["key"])]
                     if len(known):
+                        asked = np.frombuffer(blob.as_buffer(), ASKED)
                         k = np.minimum(np.searchsorted(known["key"], asked["key"]), len(known) - 1)
-                        count = np.where(known["key"][k] == asked["key"], known["n"][k], 0)
-                    part = np.empty(len(asked), PART)
-                    part["row"], part["hits"], part["tail"] = asked["row"], np.where(count > 0, asked["n"], 0), asked["n"] * np.log10(count + SMOOTH)
-                    parts.append(part)
+                        found = np.flatnonzero(known["key"][k] == asked["key"])
+                        asked, k = asked[found], k[found]
+                        word = (asked["key"] & np.uint64(1)).astype(np.int64)
+                        part = np.empty(len(asked), PART)
+                        part["row"], part["hits"] = asked["row"], asked["n"] * word
+                        part["own"], part["rest"] = asked["n"] * word * (known["own"][k] - UNKNOWN), asked["n"] * known["rest"][k]
+                        parts.append(part)
+                        size += len(part)
+                        if size >= FLUSH:
+                            parts = [_summed(np.concatenate(parts))]
+                            size = len(parts[0])
+                            if size >= FLUSH // 2:
+                                yield from _by_document(parts[0], 0, buckets)
+                                parts, size = [], 0
                 else:
                     yield from _by_document(np.frombuffer(blob.as_buffer(), DOCUMENT), 1, buckets)
         if parts:
@@ -338,7 +412,9 @@ def _summed(parts: np.ndarray) -> np.ndarray:
         return parts
     at = np.flatnonzero(np.r_[True, parts["row"][1:] != parts["row"][:-1]])
     out = np.empty(len(at), PART)
-    out["row"], out["hits"], out["tail"] = parts["row"][at], np.add.reduceat(parts["hits"], at), np.add.reduceat(parts["tail"], at)
+    out["row"] = parts["row"][at]
+    for name in ("hits", "own", "rest"):
+        out[name] = np.add.reduceat(parts[name], at)
     return out
 
 
@@ -362,13 +438,13 @@ def _total(batches):
     p = _summed(np.concatenate(parts) if parts else np.zeros(0, PART))
     rows, copies = np.unique(d["row"], return_counts=True)
     copies = copies[np.searchsorted(rows, d["row"])]
-    tail, hits = np.zeros(len(d)), np.zeros(len(d), np.int64)
+    sums = {name: np.zeros(len(d), PART[name]) for name in ("hits", "own", "rest")}
     if len(p):
         k = np.minimum(np.searchsorted(p["row"], d["row"]), len(p) - 1)
         has = p["row"][k] == d["row"]
-        tail, hits = np.where(has, p["tail"][k] / copies, 0.0), np.where(has, p["hits"][k] // copies, 0)
+        sums = {"hits": np.where(has, p["hits"][k] // copies, 0)} | {name: np.where(has, p[name][k] / copies, 0.0) for name in ("own", "rest")}
     yield pa.RecordBatch.from_arrays(
-        [pa.array(d["doc_id"], mask=d["no_id"]), pa.array(d["out"]), pa.array(d["tokens"]), pa.array(d["known"] + hits), pa.array(d["base"] + tail), pa.array(d["score"] + tail)],
+        [pa.array(d["doc_id"], mask=d["no_id"]), pa.array(d["out"]), pa.array(d["tokens"]), pa.array(d["known"] + sums["hits"]), pa.array(d["own"] + sums["own"]), pa.array(d["rest"] + sums["rest"])],
         names=[x.split()[0] for x in TOTALS.split(", ")],
     )
 
@@ -384,20 +460,14 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row_key"), held_out(F.col("doc_id"), folds).alias("held_out"))
     train = texts.where(~F.col("held_out")).select("text")
-    schema, reduced = "bucket int, kind int, blob binary", "bucket int, types long, tokens long, blob binary"
-    vocabulary = checkpointed(train.mapInArrow(_counts(lambda stream, first: [stream], buckets), schema).repartition("bucket").mapInArrow(_reduce(1), reduced))
-    size = vocabulary.agg(F.coalesce(F.sum("types"), F.lit(0)).alias("v"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()
+    schema = "bucket int, kind int, blob binary"
+    counts = checkpointed(train.mapInArrow(_counts(buckets), schema).repartition("bucket").mapInArrow(_reduce, COUNTS))
+    size = counts.where("kind = 1").agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     total, bottom = size["n"], float(np.log10(size["n"] + SMOOTH * (size["v"] + 1)))
-    words = _gathered(vocabulary, max(2, int(total * WORD_SHARE)))
-    n2, n3 = (int((words["n"] >= max(2, total * s)).sum()) for s in (BIGRAM_SHARE, TRIGRAM_SHARE))
-    lookup = Lookup(words["key"].copy())
-    least = max(2, int(total * ARC_SHARE))
-    grams = _gathered(train.mapInArrow(_counts(_gram_keys(lookup, n2, n3), buckets), schema).repartition("bucket").mapInArrow(_reduce(least), reduced), least)
-    model = build(words, n2, n3, grams, bottom)
-    asked = texts.mapInArrow(_scorer(model, buckets), schema)
-    both = asked.unionByName(vocabulary.select("bucket", F.lit(0).alias("kind"), "blob"))
+    weights = checkpointed(_weights(counts, max(2, int(total * ARC_SHARE)), bottom))
+    asked = texts.mapInArrow(_scorer(_frequent(weights, total), buckets), schema)
+    both = asked.unionByName(weights.select("key", "own", "rest").mapInArrow(_packed(buckets), schema))
     sums = both.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_answerer(buckets), schema)
     each = sums.repartition("bucket").mapInArrow(_total, TOTALS)
-    return each.select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * bottom).alias("base_score"), "score"
-    )
+    base = F.col("own") - F.col("n_tokens") * bottom
+    return each.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("rest")).alias("score"))

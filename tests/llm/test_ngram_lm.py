@@ -83,5 +83,21 @@ def test_a_state_sums_to_one():
         assert abs(p.sum() - 1) < 1e-9
 
 
+@pytest.mark.parametrize("share", [2.0**-19, 1.0])
+def test_rare_repeated_n_grams_count(spark, monkeypatch, share):
+    """No share of the corpus is asked of an n-gram; with 1.0 no weight is held by the tasks and all are looked up."""
+    monkeypatch.setattr(lm, "GRAM_SHARE", share, raising=False)
+    monkeypatch.setattr(lm, "WORD_SHARE", 2.0**-17 if share < 1 else 1.0)
+    r = random.Random(5)
+    rows = [(k, " ".join(f"w{r.randrange(400)}" for _ in range(60))) for k in range(400)]
+    rows += [(k, f"{a} rare passage of five {b}") for k, a, b in ((1001, "x", "y"), (1002, "p", "q"), (1003, "x", "z"))]
+    got = run(spark, rows)
+    monkeypatch.setattr(lm, "WORD_SHARE", 0.0)
+    monkeypatch.setattr(lm, "ARC_SHARE", 0.0)
+    monkeypatch.setattr(lm, "BIGRAM_SHARE", 0.0)
+    monkeypatch.setattr(lm, "TRIGRAM_SHARE", 0.0)
+    assert got == brute(rows)
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
