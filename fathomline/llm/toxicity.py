@@ -2,8 +2,8 @@
 
 Token log-odds come from labelled documents with a Dirichlet prior; a word's features are itself and its proper
 beginnings, so that inflected and compounded forms share evidence. Features whose log-odds are significantly above zero
-form the lexicon; a word scores its best feature, all other words share one background score. Near-copies count once in
-learning. A linear scan (Ruzzo and Tompa) finds every maximal segment. Scores of clean documents follow an extreme-value law in document length; its fit turns a segment's
+form the lexicon; a word scores its best feature, all other words share one background score. Texts of the same words in the
+same order count once in learning. A linear scan (Ruzzo and Tompa) finds every maximal segment. Scores of clean documents follow an extreme-value law in document length; its fit turns a segment's
 score into a significance, and a logistic curve over the sum of significances gives the probability.
 
 Learning uses at most ``sample`` labelled rows (those of smallest hash), a documented bound; scoring is one map pass.
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.llm.shared import checkpointed
-from fathomline.llm.wordvec import Words, chunks, column, tokenise
+from fathomline.llm.wordvec import Words, chunks, column, mix, tokenise
 
 #: Labelled rows to learn from, at most; and the z-score and log-odds at which a feature enters the lexicon.
 SAMPLE = 20_000
@@ -110,12 +110,13 @@ def _features(n: int, found: list[tuple[int, int, float]], model: Model) -> tupl
 
 
 def _grouped(batches):
-    """Adds the least word hash of each text: near-copies mostly share it."""
+    """Adds a hash of all words of each text in their order, which only copies share."""
     for batch in chunks(batches):
         words = tokenise(column(batch, "text"), lower=True, items=True)
-        h = words.hashes()
-        least = [int(h[a:b].min() >> np.uint64(1)) if b > a else 0 for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([column(batch, "text"), column(batch, "toxic").cast(pa.int32()), pa.array(least, pa.int64())], names=["text", "toxic", "kin"])
+        place = np.arange(len(words.start)) - np.repeat(words.first[:-1], words.counts)
+        sums = np.append(np.uint64(0), np.cumsum(mix(words.hashes() + mix(place.astype(np.uint64) + np.uint64(1)))))
+        whole = sums[words.first[1:]] - sums[words.first[:-1]]
+        yield pa.RecordBatch.from_arrays([column(batch, "text"), column(batch, "toxic").cast(pa.int32()), pa.array(whole.view(np.int64))], names=["text", "toxic", "kin"])
 
 
 def _presence(batches):

@@ -1,7 +1,7 @@
 import math
 import random
 
-from fathomline.llm.toxicity import Model, drop_toxic, score_toxicity, segments
+from fathomline.llm.toxicity import Model, _grouped, drop_toxic, score_toxicity, segments
 
 
 def brute_segments(scores):
@@ -63,6 +63,28 @@ def test_held_out_accuracy_and_edges(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r.predicted == 0 for r in got)
 
 
+def test_texts_that_share_a_word_are_all_learnt_from(spark):
+    r = random.Random(6)
+    common = [f"c{k}" for k in range(200)]  # in every text, so that all have the same least word hash
+    rows, labels = [], []
+    for k in range(400):
+        w = [*common, *(f"w{r.randrange(300)}" for _ in range(30))]
+        if k % 4 == 0:
+            w += ["vile", "rotten"]
+        r.shuffle(w)
+        rows.append((k, " ".join(w)))
+        labels.append((k, int(k % 4 == 0)))
+    rows += [(k + 1000, rows[k][1].upper() + " ") for k in range(400)]
+    labels += [(k + 1000, t) for k, t in labels]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {row.row.doc_id: row.predicted for row in score_toxicity(docs, marks).collect()}
+    truth = dict(labels)
+    assert sum(got[d] == truth[d] for d in got) >= 0.98 * len(got)
+    texts = docs.join(marks, "doc_id").select("text", "toxic").mapInArrow(_grouped, "text string, toxic int, kin long")
+    assert texts.select("kin", "toxic").distinct().count() == 400
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
