@@ -2,7 +2,8 @@
 
 Unit vectors are projected at random to a few dimensions, shifted at random and put in the order of a Hilbert curve;
 each ordering is cut into ranges of equal share (bounds from a bounded sample). A query is compared, with whole vectors,
-with its own range and the ones beside it in every ordering, and the orderings' best are merged. Ranges larger than a
+with its own range and the ones beside it in every ordering, further ones where those hold few rows, and the orderings'
+best are merged. Ranges larger than a
 task should hold, such as those of one very common vector, are salted: members are spread, queries visit every part.
 
 Ranges are a share of the rows, not a number: on data without low-dimensional structure recall follows the share seen.
@@ -22,6 +23,8 @@ from fathomline.llm.wordvec import column
 #: Rows that projections' ranges and bounds are fitted on, at most (those of smallest id hash).
 SAMPLE = 20_000
 ORDERINGS, DIMENSIONS, BITS, RANGES, PART_ROWS = 16, 8, 5, 32, 50_000
+#: Rows that a query meets in an ordering, at least (besides ``k``): smaller tables are seen whole.
+SEEN = 256
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -59,8 +62,9 @@ class Curves:
     high: np.ndarray
     shift: np.ndarray
     bits: int
-    bounds: np.ndarray | None = None  # (orderings, ranges - 1)
-    parts: np.ndarray | None = None  # (orderings, ranges): salts
+    bounds: list[np.ndarray] | None = None  # of each ordering: first keys of all ranges but the first, each held by a row
+    parts: list[np.ndarray] | None = None  # of each ordering: salts of each range
+    spans: list[list[tuple[int, int]]] | None = None  # of each ordering: for each range, the ranges that its queries visit
 
     def keys(self, unit: np.ndarray, k: int) -> np.ndarray:
         y = (unit @ self.frames[k] - self.low[k]) / (self.high[k] - self.low[k])
@@ -71,18 +75,34 @@ class Curves:
         return np.searchsorted(self.bounds[k], self.keys(unit, k), "right")
 
 
-def fit(sample: np.ndarray, rows: int, orderings: int, ranges: int, seed: int = 17) -> Curves:
+def _spans(rows: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """For each range, itself and the ones beside it, widened by turns to both sides until they hold ``least`` rows or all."""
+    total, out = np.r_[0, np.cumsum(rows)], []
+    for b in range(len(rows)):
+        low, high = max(b - 1, 0), min(b + 2, len(rows))
+        while total[high] - total[low] < least and high - low < len(rows):
+            low, high = max(low - 1, 0), min(high + 1, len(rows))
+        out.append((low, high))
+    return out
+
+
+def fit(sample: np.ndarray, ids: np.ndarray, rows: int, orderings: int, ranges: int, k: int, seed: int = 17) -> Curves:
     r = np.random.default_rng(seed)
     unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
     d = min(DIMENSIONS, sample.shape[1])
     frames = np.stack([np.linalg.qr(r.normal(size=(sample.shape[1], d)))[0] for _ in range(orderings)])
     y = np.einsum("nd,kde->kne", unit, frames)
     low, high = y.min(1), y.max(1)
-    curves = Curves(frames, low, np.where(high > low, high, low + 1), r.random((orderings, d)), BITS)
-    keys = [curves.keys(unit, k) for k in range(orderings)]
-    curves.bounds = np.stack([np.quantile(x, np.arange(1, ranges) / ranges, method="inverted_cdf").astype(np.int64) for x in keys])
-    share = np.stack([np.bincount(np.searchsorted(b, x, "right"), minlength=ranges) for b, x in zip(curves.bounds, keys, strict=True)]) / len(unit)
-    curves.parts = np.maximum(1, np.ceil(share * rows / PART_ROWS)).astype(np.int64)
+    curves = Curves(frames, low, np.where(high > low, high, low + 1), r.random((orderings, d)), BITS, [], [], [])
+    _, once = np.unique(ids, return_index=True)
+    for o in range(orderings):
+        keys = curves.keys(unit, o)
+        bounds = np.unique(np.quantile(keys, np.arange(1, ranges) / ranges, method="inverted_cdf").astype(np.int64))
+        curves.bounds.append(bounds[bounds > keys.min()])
+        at = np.searchsorted(curves.bounds[o], keys, "right")
+        count = lambda x, n=len(curves.bounds[o]) + 1: np.bincount(x, minlength=n)
+        curves.parts.append(np.maximum(1, np.ceil(count(at) / len(unit) * rows / PART_ROWS)).astype(np.int64))
+        curves.spans.append(_spans(count(at[once]), max(SEEN, k + 1)))
     return curves
 
 
@@ -116,7 +136,7 @@ def _sender(curves: Curves, every: int):
                     put(k, int(at[group[0]]), int(salt[group[0]]), False, group)
                 for b in np.unique(at[asks]):
                     group = asks[at[asks] == b]
-                    for near in range(max(b - 1, 0), min(b + 2, curves.parts.shape[1])):
+                    for near in range(*curves.spans[k][b]):
                         for part in range(curves.parts[k][near]):
                             put(k, int(near), int(part), True, group)
             yield pa.RecordBatch.from_arrays([pa.array(out["ordering"], pa.int32()), pa.array(out["range"], pa.int32()), pa.array(out["part"], pa.int32()), pa.array(out["query"], pa.bool_()), pa.array(out["ids"], pa.binary()), pa.array(out["vectors"], pa.binary())], names=list(out))
@@ -181,8 +201,8 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, orderings: int = ORD
     if not sizes:
         return vectors.sparkSession.createDataFrame([], schema)
     rows = rows.where(F.size("embedding") == sizes[0]["d"])
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow()
-    curves = fit(_matrix(sample.column(0).combine_chunks()), sizes[0]["n"], orderings, ranges)
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding", "vec_id").toArrow()
+    curves = fit(_matrix(sample.column(0).combine_chunks()), sample.column(1).to_numpy(), sizes[0]["n"], orderings, ranges, k)
     sent = rows.mapInArrow(_sender(curves, every), "ordering int, range int, part int, query boolean, ids binary, vectors binary")
     found = sent.repartition("ordering", "range", "part").mapInArrow(_searcher(k), "query_id long, vec_id long, score double")
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from fathomline.llm.neighbours import hilbert, search
+from fathomline.llm.neighbours import fit, hilbert, search
 
 
 def test_hilbert_visits_neighbouring_cells():
@@ -58,3 +58,22 @@ def test_few_and_none(spark):
     assert run(spark, []) == set()
     assert run(spark, [(0, [1.0] * 12)]) == set()
     assert run(spark, [(0, [1.0] * 12), (1, [1.0] * 12)]) == {(0, 1, 1, 1.0)}
+
+
+def test_small_tables_are_seen_whole(spark):
+    r = random.Random(9)
+    for n in (3, 8, 18):
+        rows = [(k * 50, [r.gauss(0, 1) for _ in range(12)]) for k in range(n)]
+        assert run(spark, rows) == brute(rows, 50, 5)
+
+
+def test_ranges_beside_a_hot_vector_hold_rows():
+    r = np.random.default_rng(4)
+    x = np.concatenate([np.tile(r.normal(size=12), (600, 1)), r.normal(size=(400, 12))])
+    curves = fit(x, np.arange(1000), 1000, 4, 32, 5)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for o in range(4):
+        at = curves.ranges(unit, o)
+        assert set(at) == set(range(len(curves.parts[o])))
+        hot = at[0]
+        assert all(low <= hot < high for low, high in curves.spans[o][max(hot - 1, 0) : hot + 2])
