@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.functions import broadcast
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df cut from its lineage by files in spark.checkpoint.dir; a local folder stands in only where that is unset."""
-    spark: SparkSession = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    """df cut from its lineage by files in spark.checkpoint.dir. Where that is unset, a folder of this machine stands in
+    if the session is local; on a cluster the setting is required."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
 
 
