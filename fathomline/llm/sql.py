@@ -37,7 +37,7 @@ WORDS = rf"list_filter(string_split_regex({LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F
 
 OP10 = f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
-items AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark),
 places AS (SELECT item, w, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 11, 2))) AS i FROM items WHERE len(w) > 0),
 grams AS (SELECT DISTINCT item, n, array_to_string(w[i : i + 12], ' ') AS g FROM places),
 cells AS (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM grams) WHERE len(w) >= n),

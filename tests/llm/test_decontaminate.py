@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from fathomline.llm import decontaminate
 from fathomline.llm.decontaminate import drop_contaminated, mark_contamination
@@ -15,10 +16,10 @@ def brute(rows, items, window=13):
     grams = {}
     for i, t in items:
         w = words(t)
-        if i is None or not w:
+        if not w:
             continue
         for k in range(max(len(w) - window + 1, 1)):
-            grams.setdefault(tuple(w[k : k + window]), set()).add(str(i))
+            grams.setdefault(tuple(w[k : k + window]), set()).update([] if i is None else [str(i)])
     out = []
     for d, t in rows:
         w = words(t)
@@ -69,6 +70,32 @@ def test_drop_keeps_columns_and_clean_rows(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted((x for x in rows if not brute([x], items)[0][5]), key=str)
 
 
+def test_windows_of_an_item_without_id_count(spark):
+    docs, bench = frames(spark, [(1, "a b c d"), (2, "x y")], [(None, "b c"), (4, "c d")])
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256) for r in mark_contamination(docs, bench).collect()}
+    assert got == {1: (3, 1, hashlib.sha256(b"4").hexdigest()), 2: (0, 0, hashlib.sha256(b"").hexdigest())}
+
+
+def test_a_text_of_a_megabyte_and_many_lengths(spark):
+    r = random.Random(3)
+    items = [(n, " ".join(f"q{n}x{j}" for j in range(n))) for n in range(1, 15)]
+    long = [f"w{r.randrange(9000)}" for _ in range(180_000)]
+    long[170_000:170_000] = items[9][1].split() + items[13][1].split()
+    docs, bench = frames(spark, [(1, " ".join(long))], items)
+    began = time.time()
+    (row,) = mark_contamination(docs, bench).collect()
+    assert (row.n_words, row.n_hit, row.n_items, row.contaminated) == (180_024, 24, 2, False)
+    assert time.time() - began < 60
+
+
+def test_drop_with_clashing_names(spark):
+    names = ["id", "hash", "row", "bad_id", "bad_hash", "known", "gram", "a.b"]
+    rows = [(1, "one two three four", *names), (2, None, *names), (None, "five six", *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    bench = spark.createDataFrame([(1, "two three")], "item_id long, text string")
+    assert sorted(map(tuple, drop_contaminated(docs, bench).collect()), key=str) == sorted(rows[1:], key=str)
+
+
 def test_empty_tables(spark):
     rows, items = fixture()
     docs, bench = frames(spark, rows, items)
