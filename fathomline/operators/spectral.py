@@ -1,8 +1,8 @@
 """Decomposition and spectral operators as aggregates.
 
-A discrete Fourier transform over T steps and F kept frequencies is one join of a series with a basis of F rows a step
-and one aggregate: O(T * F) rows, all in generated code. For T beyond a few thousand, transform blocks or use an FFT in
-applyInPandas.
+A discrete Fourier transform of n steps goes in two stages, as n = p * q with the divisor p nearest below its square root:
+q transforms of p steps, then p transforms of q steps, each an aggregate over (series, place). That is n * (p + q) rows
+in generated code and no task that holds a series; a prime n costs n rows a bin.
 """
 
 from __future__ import annotations
@@ -55,21 +55,38 @@ def smooth(df: DataFrame, weights: list[float]) -> DataFrame:
     return df.withColumn("trend", sum(parts[1:], parts[0])).withColumn("seasonal", F.col("value") - F.col("trend"))
 
 
+def _turned(theta, sign: int) -> tuple:
+    """Sums of (re + i im) * exp(sign * i * theta)."""
+    cos, sin = F.cos(theta), sign * F.sin(theta)
+    return F.sum(F.col("re") * cos - F.col("im") * sin).alias("re"), F.sum(F.col("im") * cos + F.col("re") * sin).alias("im")
+
+
+def _transform(rows: DataFrame, by: tuple[str, ...], sign: int, top=None) -> DataFrame:
+    """(by, n, f, re, im): sums over t of (re + i im) * exp(sign * 2 pi i f t / n) for f = 0 .. n - 1, or up to ``top``."""
+    keys = [*by, "n", "p"]
+    rows = rows.withColumn("p", F.expr("array_max(filter(sequence(1L, CAST(floor(sqrt(n)) AS BIGINT)), d -> n % d = 0))"))
+    first = rows.select(*keys, "re", "im", F.expr("t DIV (n DIV p)").alias("a"), F.expr("t % (n DIV p)").alias("b"), F.explode(F.expr("sequence(0L, p - 1)")).alias("k"))
+    first = first.groupBy(*keys, "b", "k").agg(*_turned(F.expr("(a * k) % p") * (2 * math.pi) / F.col("p"), sign))
+    last = F.expr("n - 1") if top is None else top
+    second = first.withColumn("top", last.cast("long")).where("k <= top").select(*keys, "re", "im", "b", F.explode(F.expr("transform(sequence(0L, (top - k) DIV p), m -> k + p * m)")).alias("f"))
+    return second.groupBy(*by, "n", "f").agg(*_turned(F.expr("(b * f) % n") * (2 * math.pi) / F.col("n"), sign))
+
+
 def dft(df: DataFrame, bins: int | None = None, by: tuple[str, ...] = (KEY,)) -> DataFrame:
     """(series_id, f, re, im, n): X_f = sum x_t exp(-2 pi i f t / n) for f = 0 .. n // 2, or fewer."""
     n = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    top = F.floor(F.col("n") / 2) if bins is None else F.least(F.floor(F.col("n") / 2), F.lit(bins - 1))
-    rows = df.select(*by, "t", "value", n.alias("n")).withColumn("f", F.explode(F.sequence(F.lit(0).cast("long"), top.cast("long"))))
-    angle = F.pmod(F.col("f") * F.col("t"), F.col("n")) * (2 * math.pi) / F.col("n")
-    return rows.groupBy(*by, "f", "n").agg(F.sum(F.col("value") * F.cos(angle)).alias("re"), (-F.sum(F.col("value") * F.sin(angle))).alias("im"))
+    rows = df.select(*by, F.col("t").cast("long").alias("t"), F.col("value").alias("re"), F.lit(0.0).alias("im"), n.alias("n"))
+    half = F.expr("n DIV 2")
+    return _transform(rows, by, -1, half if bins is None else F.least(half, F.lit(bins - 1))).select(*by, "f", "n", "re", "im")
 
 
 def inverse_dft(spectrum: DataFrame, by: tuple[str, ...] = (KEY,), length: str = "n", scale: str = "n") -> DataFrame:
     """(series_id, t, value) of ``length`` steps from bins 0 .. n // 2 (others count as zero)."""
-    rows = spectrum.withColumn("t", F.explode(F.expr(f"sequence(0L, {length} - 1)")))
-    angle = F.pmod(F.col("f") * F.col("t"), F.col(length)) * (2 * math.pi) / F.col(length)
-    twice = F.when((F.col("f") == 0) | (2 * F.col("f") == F.col(length)), 1.0).otherwise(2.0)
-    return rows.groupBy(*by, "t").agg((F.sum(twice * (F.col("re") * F.cos(angle) - F.col("im") * F.sin(angle))) / F.max(scale)).alias("value"))
+    both = F.expr(f"IF(f = 0 OR 2 * f = {length}, array(named_struct('f', f, 's', 1.0D)), array(named_struct('f', f, 's', 1.0D), named_struct('f', {length} - f, 's', -1.0D)))")
+    rows = spectrum.select(*by, F.col(length).alias("n"), F.col(scale).cast("double").alias("scale"), "re", "im", F.explode(both).alias("x"))
+    rows = rows.select(*by, "n", "scale", F.col("x.f").alias("t"), "re", (F.col("im") * F.col("x.s")).alias("im"))
+    out = _transform(rows, (*by, "scale"), 1)
+    return out.select(*by, F.col("f").alias("t"), (F.col("re") / F.col("scale")).alias("value"))
 
 
 def amplitude(spectrum: DataFrame) -> DataFrame:
@@ -96,15 +113,13 @@ def spectral_decompose(df: DataFrame, k: int = 5) -> DataFrame:
 def top_share_mask(df: DataFrame, share: float) -> DataFrame:
     """The frequencies of largest mean amplitude, max(1, int(F * share)) of them."""
     mean = amplitude(dft(df)).groupBy("f").agg(F.avg("amplitude").alias("amplitude"))
-    ranked = mean.groupBy().agg(F.array_sort(F.collect_list(F.struct((-F.round("amplitude", 6)).alias("a"), "f"))).alias("xs"))
-    kept = F.greatest(F.floor(F.size("xs") * share), F.lit(1)).cast("int")
-    return ranked.select(F.explode(F.slice(F.col("xs"), F.lit(1), kept)).alias("x")).select("x.f")
+    kept = max(1, int(mean.count() * share))
+    return mean.orderBy(F.desc(F.round("amplitude", 6)), "f").limit(kept).select("f")
 
 
 def fourier_filter(df: DataFrame, share: float) -> DataFrame:
     """invariant: the part in the masked frequencies; variant: the rest."""
-    kept = dft(df).join(F.broadcast(top_share_mask(df, share)), "f")
-    part = inverse_dft(kept).withColumnRenamed("value", "invariant")
+    part = inverse_dft(dft(df).join(top_share_mask(df, share), "f")).withColumnRenamed("value", "invariant")
     return df.join(part, [KEY, "t"]).withColumn("variant", F.col("value") - F.col("invariant"))
 
 
@@ -113,22 +128,16 @@ def upsample(df: DataFrame, cut: int, longer: int) -> DataFrame:
     return inverse_dft(dft(df, cut).withColumn("m", F.lit(longer).cast("long")), length="m")
 
 
-def circular_correlation(df: DataFrame, lags: int) -> DataFrame:
-    """(series_id, lag, value): mean of x_t * x_(t + lag) around the circle, for lags 0 .. lags - 1.
-
-    Each step is sent to its ``lags`` partners by an equi-join on (series, step).
-    """
-    n = F.count(F.lit(1)).over(Window.partitionBy(KEY))
-    rows = df.select(KEY, "t", "value", n.alias("n"))
-    sent = rows.withColumn("lag", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lags - 1).cast("long")))).withColumn("to", F.pmod(F.col("t") + F.col("lag"), F.col("n")))
-    other = rows.select(KEY, F.col("t").alias("to"), F.col("value").alias("other"))
-    return sent.join(other, [KEY, "to"]).groupBy(KEY, "lag").agg((F.sum(F.col("value") * F.col("other")) / F.max("n")).alias("value"))
+def circular_correlation(df: DataFrame) -> DataFrame:
+    """(series_id, lag, value): mean of x_t * x_(t + lag) around the circle, for all lags, from the power spectrum."""
+    power = dft(df).select(KEY, "f", "n", (F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("re"), F.lit(0.0).alias("im"), (F.col("n") * F.col("n")).alias("square"))
+    return inverse_dft(power, scale="square").withColumnRenamed("t", "lag")
 
 
-def aggregate_delays(df: DataFrame, lags: int, k: int) -> DataFrame:
+def aggregate_delays(df: DataFrame, k: int) -> DataFrame:
     """The series rolled by its k strongest delays and averaged with softmax weights of their correlation."""
     rank = F.row_number().over(Window.partitionBy(KEY).orderBy(F.desc(F.round("value", 6)), "lag"))
-    top = circular_correlation(df, lags).withColumn("_r", rank).where(F.col("_r") <= k)
+    top = circular_correlation(df).withColumn("_r", rank).where(F.col("_r") <= k)
     w = Window.partitionBy(KEY)
     weight = F.exp(F.col("value") - F.max("value").over(w))
     top = top.withColumn("_e", weight).select(KEY, "lag", (F.col("_e") / F.sum("_e").over(w)).alias("weight"))
