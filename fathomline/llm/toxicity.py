@@ -65,8 +65,12 @@ class Model:
 
 
 def segments(places: list[int], weights: list[float], background: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (start, end, score); every place not listed scores ``background`` (below zero)."""
-    found: list[tuple[int, int, float, float]] = []  # start, end, sum before, sum at end
+    """All maximal scoring segments (start, end, score); every place not listed scores ``background`` (below zero).
+
+    Each segment found points to the nearest one before it whose sum before is less; the search goes along these pointers,
+    so that no segment is passed twice and the scan is linear.
+    """
+    found: list[tuple[int, int, float, float, int]] = []  # start, end, sum before, sum at end, pointer
     total, last = 0.0, -1
     for place, weight in zip(places, weights, strict=True):
         total += background * (place - last - 1)
@@ -74,17 +78,16 @@ def segments(places: list[int], weights: list[float], background: float) -> list
         before, total = total, total + weight
         if weight <= 0:
             continue
-        new = (place, place + 1, before, total)
-        while True:
-            j = len(found) - 1
-            while j >= 0 and found[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= new[3]:
-                found.append(new)
-                break
-            new = (found[j][0], new[1], found[j][2], new[3])
+        start, end, low, high = place, place + 1, before, total
+        j = len(found) - 1
+        while j >= 0 and found[j][2] >= low:
+            j = found[j][4]
+        while j >= 0 and found[j][3] < high:
+            start, _, low, _, onward = found[j]
             del found[j:]
-    return [(a, b, r - l) for a, b, l, r in found]
+            j = onward
+        found.append((start, end, low, high, j))
+    return [(a, b, r - l) for a, b, l, r, _ in found]
 
 
 def _significance(score: float, n: int, model: Model) -> float:
@@ -239,4 +242,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, model: Mo
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are not judged toxic, with all their columns. Null and empty texts stay, each of repeated rows is
+    judged alike, a null doc_id matters to nothing; without labels of both classes all stay; columns may have any names."""
     return score_toxicity(docs, labels).where("predicted = 0").select("row.*")
