@@ -164,9 +164,12 @@ def candidates(docs: DataFrame) -> DataFrame:
     base, more = (", ".join(kinds) for kinds in (KINDS[:4], KINDS[4:]))
     out = out.selectExpr("row", "text", f"concat({base}) AS listed", f"concat({more}) AS more")
     out = out.selectExpr("row", "text", "array_sort(filter(listed, x -> x.rule = 1)) AS base", "filter(listed, x -> x.rule < 1) AS failed", "more")
-    out = out.selectExpr("row", "text", "base", "failed", "more", f"transform(sequence(0, length(text) DIV {BLOCK}), k -> filter(base, b -> b.start < (k + 1) * {BLOCK} AND b.end > k * {BLOCK})) AS blocks")
+    # names bound by a lambda are computed once a row; a column that is used once would be computed wherever it is used
+    blocks = f"transform(sequence(0, length(text) DIV {BLOCK}), k -> filter(s.base, b -> b.start < (k + 1) * {BLOCK} AND b.end > k * {BLOCK}))"
     near = f"slice(blocks, m.start DIV {BLOCK} + 1, m.end DIV {BLOCK} - m.start DIV {BLOCK} + 1)"
-    return out.selectExpr("row", "text", "base", "failed", f"IF(size(more) = 0 OR size(base) = 0, more, filter(more, m -> NOT exists({near}, block -> exists(block, b -> b.start < m.end AND b.end > m.start)))) AS more")
+    apart = f"IF(size(s.more) = 0 OR size(s.base) = 0, s.more, transform(array({blocks}), blocks -> filter(s.more, m -> NOT exists({near}, block -> exists(block, b -> b.start < m.end AND b.end > m.start))))[0])"
+    out = out.selectExpr("row", "text", f"transform(array(named_struct('base', base, 'failed', failed, 'more', more)), s -> named_struct('base', s.base, 'failed', s.failed, 'more', {apart}))[0] AS spans")
+    return out.select("row", "text", "spans.base", "spans.failed", "spans.more")
 
 
 def _case(values: dict[str, str]) -> str:
