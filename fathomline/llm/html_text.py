@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density.
 
-A page becomes a light DOM; scripts, styles, forms, navigation and what names itself boilerplate (by tag, class, id or
-role) is pruned. Each node left gets its link-adjusted characters per tag and the sum of its children's densities. The
+A page becomes a light DOM, in one pass whose steps are bounded by the page's length; scripts, styles, form controls,
+navigation and what names itself boilerplate (by tag, class, id or role) is pruned, and forms that do not hold most of
+the page. Within an article, names that an article's own parts may bear prune nothing. Each node left gets its link-adjusted characters per tag and the sum of its children's densities. The
 node of largest sum marks the article; the least density on its path from the body is the threshold, and every subtree
 that reaches it contributes its own largest-sum node. Marked subtrees are kept whole, in page order.
 """
@@ -19,9 +20,10 @@ from fathomline.llm.wordvec import column
 
 #: Tag sets of the HTML standard and names that sites give to what is not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object canvas audio video title textarea xmp noembed noframes".split())
-DROP = frozenset("head nav footer aside form button select option input label fieldset dialog menu".split()) | RAW
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br".split())
+RAW = frozenset("script style iframe title textarea xmp noembed noframes".split())
+DROP = frozenset("head nav footer aside button select option input label dialog menu noscript template svg canvas audio video".split()) | RAW
+HEAD = frozenset("head title meta link base style script noscript template".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br math mi mn mo ms mtext mrow mfrac msup msub msqrt mroot semantics annotation object".split())
 CLOSES = {
     "p": frozenset("address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li dd dt tr td th".split()),
     "li": frozenset(["li"]), "dd": frozenset(["dd", "dt"]), "dt": frozenset(["dd", "dt"]), "tr": frozenset(["tr", "tbody", "thead", "tfoot"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option", "optgroup"]),
@@ -33,20 +35,25 @@ BOILERPLATE = re.compile(
     r"footer|masthead|site-header|page-header|topbar|toolbar|share|sharing|social|related|recommend\w*|widget|pagination|pager|comments?|commentlist|disqus|replies|reply|respond|skip-link|search|tags|copyright|legal)(?:$|[\s_-])",
     re.I,
 )
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar form".split())
+#: Of these names, those that parts of an article may bear as well.
+WITHIN = re.compile(r"(?:^|[\s_-])(?:notices?|alert|search|tags|legal|copyright|banner|toolbar|widget|menu|overlay|replies|reply)(?:$|[\s_-])", re.I)
+#: Names of containers: what also bears one of them is not pruned for a name that says what else it holds.
+CONTAINERS = re.compile(r"(?:^|[\s_-])(?:content|main|article|post|entry|story|body)(?:$|[\s_-])", re.I)
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar toolbar".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attr2>[^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)",
-    re.S,
-)
+_TOKEN = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)|</")
+_QUOTE = re.compile(r"[>\"']")
+#: Characters of attributes in which a quoted > is looked through; in longer ones the first > ends the tag.
+ATTRIBUTES = 65_536
 _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "drop")
+    __slots__ = ("tag", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "drop", "block")
 
     def __init__(self, tag: str, parent: Node | None, drop: bool = False):
         self.tag, self.parent, self.drop, self.items = tag, parent, drop, []
+        self.block = self  # the nearest node around that is not inline
 
 
 def _is_boilerplate(tag: str, attributes: str, inside_article: bool) -> bool:
@@ -56,64 +63,119 @@ def _is_boilerplate(tag: str, attributes: str, inside_article: bool) -> bool:
         return False
     for name, value in _NAMED.findall(attributes):
         name, value = name.lower(), value.strip("\"'").strip()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value.lower() in ROLES) or (name in ("class", "id") and BOILERPLATE.search(value)):
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value.lower() in ROLES and not (inside_article and value.lower() == "alert")):
             return True
+        if name in ("class", "id") and BOILERPLATE.search(value):
+            if not inside_article and not CONTAINERS.search(value):
+                return True
+            if BOILERPLATE.search(WITHIN.sub(" ", WITHIN.sub(" ", value))):  # twice, as names share the space between them
+                return True
     return False
 
 
+def _tag_end(page: str, at: int) -> tuple[int, int]:
+    """Where the attributes from ``at`` end and where the tag does: at the first > outside quotes, or else the first."""
+    limit, k = at + ATTRIBUTES, at
+    while m := _QUOTE.search(page, k, limit):
+        if m[0] == ">":
+            return m.start(), m.end()
+        close = page.find(m[0], m.end(), limit)
+        if close < 0:
+            break
+        k = close + 1
+    first = page.find(">", at)
+    return (len(page), len(page)) if first < 0 else (first, first + 1)
+
+
+def _skip(page: str, close: str, at: int) -> int:
+    end = page.find(close, at)
+    return len(page) if end < 0 else end + len(close)
+
+
 def parse(page: str) -> Node:
-    """The DOM of a page. Unknown or unclosed tags are tolerated; text outside body counts as the body's."""
+    """The DOM of a page. Unknown or unclosed tags are tolerated; text outside body counts as the body's. The head ends
+    with its end tag, with body, or with the first element that no head holds."""
     root = Node("body", None)
-    here, at, n, in_article = root, 0, len(page), 0
+    here, at, n = root, 0, len(page)
+    open_tags: dict[str, int] = {}
+    close_raw: dict[str, re.Pattern] = {}
+
+    def leave(node: Node) -> Node:
+        open_tags[node.tag] -= 1
+        return node.parent
+
     while at < n:
         m = _TOKEN.search(page, at)
         if m is None:
             here.items.append(page[at:])
             break
         if m.start() > at:
+            if here.tag == "head" and page[at : m.start()].strip():
+                here = leave(here)
             here.items.append(page[at : m.start()])
         at = m.end()
-        tag = m["tag"] or m["tag2"]
-        if tag is None:
+        if m["tag"] is None:
+            if m[0] == "<!--":
+                at = m.start() + 5 if page.startswith("<!-->", m.start()) else _skip(page, "-->", at)
+            else:
+                at = _skip(page, "]]>" if m[0] == "<![CDATA[" else ">", at)
             continue
-        tag = tag.lower()
-        if m["end"] or m["end2"]:
-            node = here
-            while node is not None and node.tag != tag:
-                node = None if node is root else node.parent
-            if node is not None and node is not root:
-                here = node.parent
-                in_article = sum(1 for _ in _up(here, "article", "main"))
+        tag = m["tag"].lower()
+        stop, at = _tag_end(page, at)
+        if m["end"]:
+            if open_tags.get(tag):
+                while here.tag != tag:
+                    here = leave(here)
+                here = leave(here)
             continue
-        if tag in ("html", "body"):
+        if tag == "html":
             continue
-        node = here
-        while node is not root and node.tag not in SCOPES and tag not in INLINE:
-            if tag in CLOSES.get(node.tag, ()):
-                here = node.parent
-                break
-            if node.tag not in INLINE and node.tag != "p":
-                break
-            node = node.parent
-        attributes = m["attr"] or m["attr2"] or ""
-        child = Node(tag, here, here.drop or _is_boilerplate(tag, attributes, in_article > 0))
+        if open_tags.get("head") and (tag == "body" or tag not in HEAD):
+            while here.tag != "head":
+                here = leave(here)
+            here = leave(here)
+        if tag == "body":
+            continue
+        if tag not in INLINE:
+            block = here.block
+            if tag in CLOSES.get(block.tag, ()):
+                while here is not block:
+                    here = leave(here)
+                here = leave(here)
+                if block.tag == "p" and tag in CLOSES.get(here.block.tag, ()) and here.block is not root:  # li > p, then li
+                    block = here.block
+                    while here is not block:
+                        here = leave(here)
+                    here = leave(here)
+        attributes = page[m.end() : stop]
+        child = Node(tag, here, here.drop or _is_boilerplate(tag, attributes, bool(open_tags.get("article") or open_tags.get("main"))))
         here.items.append(child)
         if tag in VOID or attributes.endswith("/") and tag in ("svg", "math"):
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            pattern = close_raw.setdefault(tag, re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I))
+            close = pattern.search(page, at)
             at = close.end() if close else n
             continue
+        child.block = here.block if tag in INLINE else child
+        open_tags[tag] = open_tags.get(tag, 0) + 1
         here = child
-        in_article += tag in ("article", "main")
+    _drop_forms(root)
     return root
 
 
-def _up(node: Node | None, *tags: str):
-    while node is not None:
-        if node.tag in tags:
-            yield node
-        node = node.parent
+def _drop_forms(root: Node) -> None:
+    """Forms that hold less than half of the page's text, and those within dropped parts, are dropped."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [x for x in node.items if isinstance(x, Node) and not x.drop]
+    for node in reversed(order):
+        node.chars = sum(len(x.strip()) if isinstance(x, str) else 0 if x.drop else x.chars for x in node.items)
+    for node in order:
+        if node.tag in ("form", "fieldset") and 2 * node.chars < root.chars:
+            node.drop = True
 
 
 def _measure(root: Node) -> None:
