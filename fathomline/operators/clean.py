@@ -13,9 +13,29 @@ def zero_to_null(df: DataFrame) -> DataFrame:
 
 
 def rolling_stats(df: DataFrame, hours: float = 24) -> DataFrame:
-    """Mean, sample deviation and count of (ts - hours, ts], the current row included."""
-    frame = Window.partitionBy(KEY).orderBy(micros(F.col("ts"))).rangeBetween(-(int(hours * MICROS_PER_DAY / 24) - 1), 0)
-    return df.withColumns({"w_mean": F.avg("value").over(frame), "w_std": F.stddev_samp("value").over(frame), "w_n": F.count("value").over(frame)})
+    """Mean, sample deviation and count of (ts - hours, ts], the current row included.
+
+    Time is cut into blocks of the window's length, so a window lies in its row's block and the one before. A row adds to
+    the sums of its own block and, as a copy ``hours`` later, takes itself away from those of the next: all windows come
+    from running sums, one pass over each (series, block), and a series spreads over its blocks. Sums are of differences
+    from the block's mean, which keeps the deviation's digits.
+    """
+    width = int(hours * MICROS_PER_DAY / 24)
+    placed = df.withColumn("_x", micros(F.col("ts")))
+    block = F.floor(F.col("_x") / width)
+    own = placed.withColumns({"_block": block, "_sign": F.lit(1)})
+    left = placed.where("value IS NOT NULL AND _x IS NOT NULL").select(KEY, "value", (F.col("_x") + width).alias("_x"), (block + 1).alias("_block"), F.lit(-1).alias("_sign"))
+    part = Window.partitionBy(KEY, "_block")
+    so_far = part.orderBy("_x").rangeBetween(Window.unboundedPreceding, 0)
+    both = own.unionByName(left, allowMissingColumns=True).withColumn("_c", F.avg("value").over(part))
+    d, one = F.col("value") - F.col("_c"), F.when(F.col("value").isNotNull(), 1)
+    # what the block before holds in all, and what has come and gone by now
+    total = lambda x: F.coalesce(F.sum(F.when(F.col("_sign") < 0, x)).over(part), F.lit(0)) + F.coalesce(F.sum(x * F.col("_sign")).over(so_far), F.lit(0))
+    both = both.withColumns({"w_n": total(one), "_s": total(d), "_q": total(d * d)}).where("_sign > 0")
+    n, total_, square = F.col("w_n"), F.col("_s"), F.col("_q")
+    mean = F.when(n > 0, F.col("_c") + total_ / n)
+    std = F.when(n > 1, F.sqrt(F.greatest(square - total_ * total_ / n, F.lit(0.0)) / (n - 1)))
+    return both.select(*(F.col(f"`{c}`") for c in df.columns), mean.alias("w_mean"), std.alias("w_std"), n.cast("long").alias("w_n"))
 
 
 def drop_rolling_outliers(df: DataFrame, hours: float = 24, width: float = 3, least: int = 5) -> DataFrame:
@@ -53,12 +73,38 @@ def drop_empty_series(df: DataFrame) -> DataFrame:
     return df.join(df.groupBy(KEY).agg(F.count("value").alias("n")).where("n > 0").select(KEY), KEY, "left_semi")
 
 
+def _bounded(counts: DataFrame, low, high, **stats) -> DataFrame:
+    """(series_id, low, high): what a quantile stage keeps, from the counts of each value."""
+    each = counts.groupBy(KEY).agg(F.sum("n").alias("n"), *(e.alias(name) for name, e in stats.items()))
+    return each.select(KEY, low.alias("low"), high.alias("high"))
+
+
+def _within(counts: DataFrame, bounds: DataFrame) -> DataFrame:
+    return counts.join(bounds, KEY).where("(low IS NULL OR value >= low) AND (high IS NULL OR value <= high)").select(KEY, "value", "n")
+
+
 def clean(df: DataFrame, hours: float = 24, width: float = 3, iqr: float = 2.5, median_percent: float | None = None) -> DataFrame:
-    """All stages in their order. Quantile stages need whole series, so each is one aggregate joined back."""
-    out = drop_iqr_outliers(drop_rolling_outliers(zero_to_null(df), hours, width), iqr)
+    """All stages in their order. The quantile stages follow from the number of times that each value occurs in each
+    series, one aggregate of the rows whatever the number of stages; their bounds are applied together at the end."""
+    rows = drop_rolling_outliers(zero_to_null(df), hours, width)
+    counts = rows.where("value IS NOT NULL").groupBy(KEY, "value").agg(F.count(F.lit(1)).alias("n"))
+    quantiles = lambda *p: F.percentile("value", F.array(*(F.lit(x) for x in p)), F.col("n"))
+    q, some, mid = F.col("q"), F.col("n") >= 10, F.col("q")[0]
+    spread = q[1] - q[0]
+    steps = [_bounded(counts, F.when(spread > 0, q[0] - iqr * spread), F.when(spread > 0, q[1] + iqr * spread), q=quantiles(0.25, 0.75))]
+    left = _within(counts, steps[-1])
     if median_percent is not None:
-        out = drop_far_from_median(out, median_percent)
-    return drop_empty_series(drop_extreme_quantiles(out))
+        reach, decides = F.abs(mid) * (median_percent / 100), some & (mid != 0)
+        steps.append(_bounded(left, F.when(decides, mid - reach), F.when(decides, mid + reach), q=quantiles(0.5)))
+        left = _within(left, steps[-1])
+    steps.append(_bounded(left, F.when(some, q[0]), F.when(some, q[1]), q=quantiles(0.001, 0.999)))
+    # quantiles of what is left lie within it, so no series that reaches the last stage becomes empty there
+    bounds = steps[-1]
+    for step in reversed(steps[:-1]):
+        both = bounds.join(step.select(KEY, F.col("low").alias("l"), F.col("high").alias("h")), KEY)
+        bounds = both.select(KEY, F.greatest("low", "l").alias("low"), F.least("high", "h").alias("high"))
+    keep = (F.col("low").isNull() | (F.col("value") >= F.col("low"))) & (F.col("high").isNull() | (F.col("value") <= F.col("high")))
+    return rows.join(bounds, KEY).withColumn("value", F.when(keep, F.col("value"))).drop("low", "high")
 
 
 def keep_first(df: DataFrame, keys: list[str], place: str) -> DataFrame:

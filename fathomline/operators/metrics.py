@@ -25,8 +25,8 @@ def _zero(x: Column) -> Column:
     return F.coalesce(x, F.lit(0.0))
 
 
-def cell_metrics(df: DataFrame, by: list[str]) -> DataFrame:
-    """MAE, MSE, RMSE, MAPE, SMAPE, HUBER and the weight (number of valid cells)."""
+def cell_metrics(df: DataFrame, by: list[str], **more: Column) -> DataFrame:
+    """MAE, MSE, RMSE, MAPE, SMAPE, HUBER and the weight (number of valid cells); ``more`` names further aggregates."""
     e = F.col("y_pred") - F.col("y_true")
     big = F.col("mask") * F.coalesce(F.abs(F.col("y_true")) > SMALL, F.lit(False)).cast("double")
     both = F.coalesce((F.col("y_true").isNotNull() & (F.abs(F.col("y_true")) > SMALL)), F.lit(False)).cast("double")
@@ -39,6 +39,7 @@ def cell_metrics(df: DataFrame, by: list[str]) -> DataFrame:
         _ratio(_zero(F.try_divide(F.abs(e), (F.abs(F.col("y_pred")) + F.abs(F.col("y_true"))) / 2)) * both, both).alias("smape"),
         F.avg(F.when(F.abs(z) < 1, 0.5 * z * z).otherwise(F.abs(z) - 0.5)).alias("huber"),
         F.sum(F.col("mask")).alias("weight"),
+        *(x.alias(name) for name, x in more.items()),
     )
 
 

@@ -18,9 +18,9 @@ def historical_inertia(samples: DataFrame, targets: int, reverse: bool = False)
     return samples.withColumn("prediction", F.reverse(tail) if reverse else tail)
 
 
-def scored_rows(samples: DataFrame) -> DataFrame:
-    """(series_id, sample_id, h, y_true, y_pred)."""
-    return samples.select(KEY, "sample_id", F.posexplode(F.arrays_zip("targets", "prediction")).alias("h", "x")).select(KEY, "sample_id", "h", F.col("x.targets").alias("y_true"), F.col("x.prediction").alias("y_pred"))
+def scored_rows(samples: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(series_id, sample_id, h, y_true, y_pred) and the columns named by ``carry``."""
+    return samples.select(KEY, "sample_id", *carry, F.posexplode(F.arrays_zip("targets", "prediction")).alias("h", "x")).select(KEY, "sample_id", *carry, "h", F.col("x.targets").alias("y_true"), F.col("x.prediction").alias("y_pred"))
 
 
 def _moments(batches, length: int, horizon: int, prepare):

@@ -51,6 +51,15 @@ def inverse(df: DataFrame, stats: DataFrame, column: str = "scaled", mask: Colum
     return _joined(df, stats).withColumn("restored", x if mask is None else F.when(mask, x).otherwise(F.col(column))).drop("mean", "std")
 
 
+def with_z(df: DataFrame) -> DataFrame:
+    """scaled, mean and std of each series by its train split, without a second reading of ``df``."""
+    whole = Window.partitionBy(KEY)
+    train = F.when(F.col("split") == "train", F.col("value"))
+    std = F.stddev_pop(train).over(whole)
+    out = df.withColumns({"mean": F.avg(train).over(whole), "std": F.when(std == 0, 1.0).otherwise(std)})
+    return out.withColumn("scaled", (F.col("value") - F.col("mean")) / F.col("std"))
+
+
 def fill_masked(mask: Column, scaled: Column, null_to: float = 0.0) -> Column:
     """Filling comes after scaling."""
     return F.when(mask, scaled).otherwise(F.lit(null_to))

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from fathomline.operators.grid import KEY, in_order
 
 
-def forecast_windows(df: DataFrame, inputs: int, targets: int) -> DataFrame:
+def forecast_windows(df: DataFrame, inputs: int, targets: int, carry: tuple[str, ...] = ()) -> DataFrame:
     """Stride-1 samples: sample i has steps [i, i + inputs) and [i + inputs, i + inputs + targets); n - L - H + 1 of them.
+    ``carry`` names columns that come along from a sample's first step.
 
     One array a row; for very wide windows prefer operators that aggregate over frames.
     """
     both = F.collect_list(F.struct("t", "value")).over(in_order().rowsBetween(0, inputs + targets - 1))
-    out = df.select(KEY, F.col("t").alias("sample_id"), F.transform(both, lambda x: x["value"]).alias("_v")).where(F.size("_v") == inputs + targets)
-    return out.select(KEY, "sample_id", F.slice("_v", 1, inputs).alias("inputs"), F.slice("_v", inputs + 1, targets).alias("targets"))
+    out = df.select(KEY, F.col("t").alias("sample_id"), F.transform(both, lambda x: x["value"]).alias("_v"), *carry).where(F.size("_v") == inputs + targets)
+    return out.select(KEY, "sample_id", *carry, F.slice("_v", 1, inputs).alias("inputs"), F.slice("_v", inputs + 1, targets).alias("targets"))
 
 
 def imputation_windows(df: DataFrame, inputs: int) -> DataFrame:

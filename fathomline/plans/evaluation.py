@@ -165,13 +165,11 @@ FLAGSHIP = (
 def flagship(spark, sf_dir: str):
     """Grid, interpolation, split, scaling on train, windows of a day to a day on test, inertia, inverse, errors."""
     series = grid.chronological_split(fill.interpolate_short_gaps(hourly(spark, sf_dir), 120), (0.6, 0.2, 0.2))
-    stats = scale.fit_z(series)
-    scaled = scale.transform(series, stats).where("split = 'test'").select("series_id", "t", F.col("scaled").alias("value"))
-    rows = models.scored_rows(models.historical_inertia(windows.forecast_windows(scaled, 24, 24), 24))
-    restored = rows.join(stats, "series_id").select("series_id", "sample_id", "h", (F.col("y_true") * F.col("std") + F.col("mean")).alias("y_true"), (F.col("y_pred") * F.col("std") + F.col("mean")).alias("y_pred"))
-    out = metrics.with_mask(restored)
-    scores = metrics.cell_metrics(out, ["series_id"]).select("series_id", "mae", "rmse")
-    return rounded(scores.join(out.groupBy("series_id").agg(F.count("*").alias("cells")), "series_id"), 5)
+    scaled = scale.with_z(series).where("split = 'test'").select("series_id", "t", "mean", "std", F.col("scaled").alias("value"))
+    rows = models.scored_rows(models.historical_inertia(windows.forecast_windows(scaled, 24, 24, carry=("mean", "std")), 24), carry=("mean", "std"))
+    restored = rows.select("series_id", "sample_id", "h", (F.col("y_true") * F.col("std") + F.col("mean")).alias("y_true"), (F.col("y_pred") * F.col("std") + F.col("mean")).alias("y_pred"))
+    scores = metrics.cell_metrics(metrics.with_mask(restored), ["series_id"], cells=F.count("*"))
+    return rounded(scores.select("series_id", "mae", "rmse", "cells"), 5)
 
 
 __all__ = ["curriculum_length", "flagship", "split"]
