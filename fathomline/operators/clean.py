@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from fathomline.functions.scalars import MICROS_PER_DAY, micros
 from fathomline.operators.grid import KEY
@@ -73,6 +74,17 @@ def drop_empty_series(df: DataFrame) -> DataFrame:
     return df.join(df.groupBy(KEY).agg(F.count("value").alias("n")).where("n > 0").select(KEY), KEY, "left_semi")
 
 
+def numeric_columns(df: DataFrame) -> list[str]:
+    """Names of the columns of a numeric type, in their order."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+
+
+def drop_null_columns(df: DataFrame) -> DataFrame:
+    """Without the columns that hold nothing but NULL; one aggregate over all columns. An empty table keeps its columns."""
+    found = df.agg(F.count(F.lit(1)).alias("rows"), *(F.count(F.col(f"`{c}`")).alias(f"n{k}") for k, c in enumerate(df.columns))).first()
+    return df.select(*(F.col(f"`{c}`") for k, c in enumerate(df.columns) if found[f"n{k}"] or not found["rows"]))
+
+
 def _bounded(counts: DataFrame, low, high, **stats) -> DataFrame:
     """(series_id, low, high): what a quantile stage keeps, from the counts of each value."""
     each = counts.groupBy(KEY).agg(F.sum("n").alias("n"), *(e.alias(name) for name, e in stats.items()))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathomline.sources.scratch import checkpointed
+
+
 def symmetric(edges: DataFrame, place: str, connectivity: bool = False) -> DataFrame:
     """Both directions of each edge; of repeated edges the last by ``place`` wins. ``connectivity`` makes weights 1."""
     both = edges.select("src", "dst", "weight", place, F.lit(0).alias("_way")).unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight", place, F.lit(1).alias("_way")))
@@ -45,23 +48,30 @@ def laplacian(edges: DataFrame) -> DataFrame:
     return added(diagonal(edges), _scaled(edges, -0.5).withColumn("weight", -F.col("weight")))
 
 
-def scaled_laplacian(edges: DataFrame, largest: float = 2.0) -> DataFrame:
-    """(2 / largest) L - I of the graph made symmetric by the larger of both directions."""
+def scaled_laplacian(edges: DataFrame, largest: float | None = 2.0) -> DataFrame:
+    """(2 / largest) L - I of the graph made symmetric by the larger of both directions; without ``largest``, the largest
+    eigenvalue of L takes its place."""
     flipped = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     even = edges.unionByName(flipped).groupBy("src", "dst").agg(F.max("weight").alias("weight"))
-    lap = laplacian(even).withColumn("weight", F.col("weight") * (2 / largest))
+    lap = laplacian(even)
+    if largest is None:
+        lap = checkpointed(lap)
+        largest = largest_eigenvalue(lap)
+    lap = lap.withColumn("weight", F.col("weight") * (2 / largest))
     return added(lap, diagonal(edges).withColumn("weight", -F.col("weight")))
 
 
-def largest_eigenvalue(matrix: DataFrame, rounds: int = 30) -> float:
-    """Power iteration; each round is one join and two aggregates, and the driver sees one number a round."""
+def largest_eigenvalue(matrix: DataFrame, rounds: int = 100, close: float = 1e-9) -> float:
+    """Power iteration of a matrix without negative eigenvalues; each round is one join and two aggregates, cut from the
+    last by a checkpoint, and the driver sees one number a round."""
     v, value = nodes(matrix).withColumn("x", 1 + F.pmod(F.col("src") * 7919, F.lit(101)) / 101), 0.0
     for _ in range(rounds):
         y = matrix.join(v.select(F.col("src").alias("dst"), "x"), "dst").groupBy("src").agg(F.sum(F.col("weight") * F.col("x")).alias("x"))
-        value = float(y.agg(F.sqrt(F.sum(F.col("x") * F.col("x")))).first()[0] or 0.0)
-        if not value:
-            return 0.0
-        v = y.withColumn("x", F.col("x") / value).checkpoint()
+        y = checkpointed(y)
+        before, value = value, float(y.agg(F.sqrt(F.sum(F.col("x") * F.col("x")))).first()[0] or 0.0)
+        if not value or abs(value - before) <= close * value:
+            break
+        v = y.withColumn("x", F.col("x") / value)
     return value
 
 
@@ -76,11 +86,11 @@ def transition(edges: DataFrame, transposed: bool = True) -> DataFrame:
     return out.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight") if transposed else out
 
 
-def normalised(edges: DataFrame, kind: str) -> list[DataFrame]:
-    """The matrices of each way of normalising; an unknown one is an error."""
+def normalised(edges: DataFrame, kind: str, largest: float | None = 2.0) -> list[DataFrame]:
+    """The matrices of each way of normalising; an unknown one is an error. ``largest`` is the scaled Laplacian's."""
     flipped = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     ways = {
-        "scalap": lambda: [scaled_laplacian(edges)], "normlap": lambda: [laplacian(edges)], "symnadj": lambda: [renormalised(edges)], "transition": lambda: [transition(edges)],
+        "scalap": lambda: [scaled_laplacian(edges, largest)], "normlap": lambda: [laplacian(edges)], "symnadj": lambda: [renormalised(edges)], "transition": lambda: [transition(edges)],
         "doubletransition": lambda: [transition(edges), transition(flipped)], "identity": lambda: [diagonal(edges)], "original": lambda: [edges],
     }
     if kind not in ways:

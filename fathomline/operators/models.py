@@ -5,10 +5,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathomline.operators.grid import KEY
+from fathomline.operators.grid import KEY, in_order
 
 
 def historical_inertia(samples: DataFrame, targets: int, reverse: bool = False) -> DataFrame:
@@ -67,12 +67,24 @@ def nlinear(samples: DataFrame, weights: np.ndarray) -> DataFrame:
     return samples.withColumn("prediction", _dot(F.col("inputs"), weights, F.element_at("inputs", -1)))
 
 
-def dlinear(samples: DataFrame, trend: np.ndarray, season: np.ndarray, k: int = 25) -> DataFrame:
-    """Moving-average decomposition of the window, one linear map for each part."""
+def _parts(samples: DataFrame, k: int) -> DataFrame:
+    """_trend and _season of each window: a moving average with repeated ends, and the rest."""
     n, left, right = F.size("inputs"), (k - 1) // 2, k // 2
     padded = F.concat(F.array_repeat(F.element_at("inputs", 1), left), F.col("inputs"), F.array_repeat(F.element_at("inputs", -1), right))
     low = F.transform(F.sequence(F.lit(1), n), lambda i: F.aggregate(F.slice(padded, i, F.lit(k)), F.lit(0.0), lambda s, v: s + v) / k)
-    out = samples.withColumn("_trend", low).withColumn("_season", F.zip_with("inputs", "_trend", lambda a, b: a - b))
+    return samples.withColumn("_trend", low).withColumn("_season", F.zip_with("inputs", "_trend", lambda a, b: a - b))
+
+
+def fit_parts(samples: DataFrame, length: int, horizon: int, k: int = 25, ridge: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
+    """The two maps of ``dlinear``, fitted together by least squares; each has half of the bias."""
+    both = _parts(samples, k).select(F.concat("_trend", "_season").alias("inputs"), "targets")
+    w = fit_linear(both, 2 * length, horizon, ridge=ridge)
+    return np.vstack([w[:length], w[-1:] / 2]), np.vstack([w[length : 2 * length], w[-1:] / 2])
+
+
+def dlinear(samples: DataFrame, trend: np.ndarray, season: np.ndarray, k: int = 25) -> DataFrame:
+    """Moving-average decomposition of the window, one linear map for each part."""
+    out = _parts(samples, k)
     return out.withColumn("prediction", F.zip_with(_dot(F.col("_trend"), trend), _dot(F.col("_season"), season), lambda a, b: a + b)).drop("_trend", "_season")
 
 
@@ -98,44 +110,134 @@ def seed_decoder(samples: DataFrame, label_len: int, horizon: int, k: int = 25)
     return out.withColumns({"trend_seed": F.concat(tail(F.col("_trend")), F.array_repeat(mean, horizon)), "season_seed": F.concat(tail(season), F.array_repeat(F.lit(0.0), horizon))}).drop("_trend")
 
 
-def _dmd(key, pdf: pd.DataFrame, width: int, horizon: int) -> pd.DataFrame:
-    x = pdf.sort_values("t")["value"].to_numpy(float)
-    snapshots = np.lib.stride_tricks.sliding_window_view(x, width).T
-    operator = snapshots[:, 1:] @ np.linalg.pinv(snapshots[:, :-1], rcond=1e-8)
-    state, out = snapshots[:, -1], []
+def _outer(batches, width: int):
+    """Sums of products of each window's steps, by series: of width + 1 steps, so bounded whatever the series' length."""
+    sums: dict[str, np.ndarray] = {}
+    for pdf in batches:
+        for key, part in pdf.groupby(KEY):
+            x = np.stack(part["inputs"]).astype(float)
+            sums[key] = sums.get(key, 0.0) + x.T @ x
+    for key, m in sums.items():
+        yield pd.DataFrame({KEY: key, "cell": np.arange(m.size), "v": m.ravel()})
+
+
+def _rolled(pdf: pd.DataFrame, width: int, horizon: int) -> pd.DataFrame:
+    m = pdf.sort_values("cell")["v"].to_numpy(float).reshape(width + 1, width + 1)
+    operator = np.eye(width, k=1)  # a delay vector moves on by one step; its last entry is the fitted one
+    operator[-1] = np.linalg.lstsq(m[:-1, :-1], m[:-1, -1], rcond=1e-12)[0]
+    state, out = np.array(pdf["state"].iloc[0], float), []
     for _ in range(horizon):
         state = operator @ state
         out.append(state[-1])
-    return pd.DataFrame({KEY: key[0], "h": np.arange(horizon), "value": out})
+    return pd.DataFrame({KEY: pdf[KEY].iloc[0], "h": np.arange(horizon), "value": out})
+
+
+def dynamic_modes(df: DataFrame, width: int, horizon: int) -> DataFrame:
+    """(series_id, h, value): the one-step operator of each series' delay vectors of ``width`` steps, by least squares over
+    the whole series, applied again and again to its last delay vector. All but the operator's last row is a shift."""
+    both = F.collect_list("value").over(in_order().rowsBetween(0, width))
+    samples = df.select(KEY, both.alias("inputs")).where(F.size("inputs") == width + 1)
+    sums = samples.mapInPandas(lambda b: _outer(b, width), f"{KEY} string, cell long, v double").groupBy(KEY, "cell").agg(F.sum("v").alias("v"))
+    last = df.groupBy(KEY).agg(F.max("t").alias("_end"))
+    state = df.join(last, KEY).where(F.col("t") > F.col("_end") - width).groupBy(KEY).agg(F.array_sort(F.collect_list(F.struct("t", "value"))).alias("xs"))
+    state = state.select(KEY, F.transform("xs", lambda x: x["value"]).alias("state"))
+    return sums.join(state, KEY).groupBy(KEY).applyInPandas(lambda pdf: _rolled(pdf, width, horizon), f"{KEY} string, h long, value double")
+
+
+def legendre_system(order: int, step: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """A and B of the translated Legendre measure, made discrete by the bilinear rule."""
+    i, j = np.arange(order)[:, None], np.arange(order)[None, :]
+    a = np.where(i < j, -1.0, (-1.0) ** (i - j + 1)) * (2 * i + 1)
+    b = (-1.0) ** np.arange(order) * (2 * np.arange(order) + 1)
+    left = np.linalg.inv(np.eye(order) - step / 2 * a)
+    return left @ (np.eye(order) + step / 2 * a), left @ b * step
+
+
+def legendre_state(df: DataFrame, order: int, block: int = 64) -> DataFrame:
+    """(series_id, k, value): c after c = A c + B x over each whole series, from zero.
+
+    The recurrence is linear: a block of steps adds a weighted sum of its values, weights being powers of A times B, and
+    blocks follow each other by A to the power of a block. Blocks are one aggregate; only their sums are put in order.
+    """
+    a, b = legendre_system(order)
+    powers = [b]
+    for _ in range(block - 1):
+        powers.append(a @ powers[-1])
+    jump = np.linalg.matrix_power(a, block)
+    weights = F.array(*(F.array(*(F.lit(float(x)) for x in row)) for row in powers))
+    n = F.count(F.lit(1)).over(Window.partitionBy(KEY))
+    back = df.select(KEY, "value", (n - 1 - F.col("t")).alias("_back"))  # steps from the end, so that full blocks come last
+    w = F.element_at(weights, (F.pmod("_back", F.lit(block)) + 1).cast("int"))
+    sums = back.groupBy(KEY, F.floor(F.col("_back") / block).alias("_block")).agg(F.array(*(F.sum(F.col("value") * w[k]) for k in range(order))).alias("s"))
+    ordered = sums.groupBy(KEY).agg(F.reverse(F.array_sort(F.collect_list(F.struct("_block", "s")))).alias("xs"))
 
+    def step(c, x):
+        return F.array(*(sum((c[j] * float(jump[i, j]) for j in range(order)), F.lit(0.0)) + x["s"][i] for i in range(order)))
+
+    return ordered.select(KEY, F.posexplode(F.aggregate("xs", F.array(*(F.lit(0.0) for _ in range(order))), step)).alias("k", "value"))
 
-def dynamic_modes(df: DataFrame, width: int, horizon: int, last: int = 512) -> DataFrame:
-    """One-step operator of delay vectors by least squares, rolled forward, from each series' last ``last`` steps (the
-    operator's look-back; a bounded group)."""
-    n = df.groupBy(KEY).agg(F.max("t").alias("_end"))
-    tail = df.join(n, KEY).where(F.col("t") > F.col("_end") - last).select(KEY, "t", "value")
-    return tail.groupBy(KEY).applyInPandas(lambda key, pdf: _dmd(key, pdf, width, horizon), f"{KEY} string, h long, value double")
 
+def fit_cross_period(samples: DataFrame, period: int, inputs: int, horizon: int) -> np.ndarray:
+    """Weights of ``sparse_linear``: one map from the steps of a phase to its coming ones, shared by all phases, by least
+    squares over the phases of all samples, each window less its mean."""
+    mean = F.aggregate("inputs", F.lit(0.0), lambda s, v: s + v) / F.size("inputs")
+    phase = lambda c, n: F.transform(F.sequence(F.lit(0), F.lit(n // period - 1)), lambda i: F.element_at(c, i * period + F.col("_p") + 1) - F.col("_m"))
+    phases = samples.select("inputs", "targets", mean.alias("_m"), F.explode(F.sequence(F.lit(0), F.lit(period - 1))).alias("_p"))
+    return fit_linear(phases.select(phase("inputs", inputs).alias("inputs"), phase("targets", horizon).alias("targets")), inputs // period, horizon // period)
 
-def legendre_state(df: DataFrame, order: int, last: int = 512) -> DataFrame:
-    """(series_id, k, value): coefficients of each series' look-back on shifted Legendre polynomials, by the recurrence
-    c += (A c + B x) / t with A and B of the scaled measure, in an ordered array aggregate."""
-    b = [(2 * i + 1) ** 0.5 for i in range(order)]
-    a = [[-b[i] * b[j] if i > j else -(i + 1.0) if i == j else 0.0 for j in range(order)] for i in range(order)]
-    n = df.groupBy(KEY).agg(F.max("t").alias("_end"))
-    tail = df.join(n, KEY).where(F.col("t") > F.col("_end") - last)
-    seq = tail.groupBy(KEY).agg(F.array_sort(F.collect_list(F.struct("t", "value"))).alias("xs"))
-    xs = F.transform("xs", lambda x, i: F.struct(x["value"].alias("v"), (i + 1).cast("double").alias("n")))
-    start = F.array(*(F.lit(0.0) for _ in range(order)))
 
-    def step(c, x):
-        rows = []
-        for i in range(order):
-            drift = sum((F.element_at(c, j + 1) * a[i][j] for j in range(i + 1)), F.lit(0.0))
-            rows.append(F.element_at(c, i + 1) + (drift + x["v"] * b[i]) / (x["n"] + order))
-        return F.array(*rows)
+def _spectra(pdf: pd.DataFrame, cut: int):
+    """Instance-normed inputs, their low bins, and the mean and deviation that undo the norm."""
+    x = np.stack(pdf["inputs"]).astype(float)
+    mean, std = x.mean(1, keepdims=True), np.sqrt(x.var(1, keepdims=True) + 1e-5)
+    return np.fft.rfft((x - mean) / std)[:, :cut], mean, std
 
-    return seq.select(KEY, F.posexplode(F.aggregate(xs, start, step)).alias("k", "value"))
+
+def _bin_moments(batches, cut: int, out: int, ratio: float):
+    gram, cross = np.zeros((cut + 1, cut + 1), complex), np.zeros((cut + 1, out), complex)
+    for pdf in batches:
+        if len(pdf):
+            low, mean, std = _spectra(pdf, cut)
+            whole = (np.column_stack([np.stack(pdf["inputs"]), np.stack(pdf["targets"])]).astype(float) - mean) / std
+            low = np.column_stack([low, np.ones(len(low))])
+            gram, cross = gram + low.conj().T @ low, cross + low.conj().T @ (np.fft.rfft(whole)[:, :out] / ratio)
+    flat = np.concatenate([gram.ravel(), cross.ravel()])
+    yield pd.DataFrame({"cell": np.arange(len(flat)), "re": flat.real, "im": flat.imag})
+
+
+def fit_frequencies(samples: DataFrame, length: int, horizon: int, cut: int, ridge: float = 1e-6) -> np.ndarray:
+    """A complex map from the ``cut`` low bins of the inputs to the bins of inputs and targets together, the last row the
+    bias: least squares whose sums are one aggregate of bounded size."""
+    ratio = (length + horizon) / length
+    out = int(cut * ratio)
+    sums = samples.select("inputs", "targets").mapInPandas(lambda b: _bin_moments(b, cut, out, ratio), "cell long, re double, im double")
+    rows = sums.groupBy("cell").agg(F.sum("re").alias("re"), F.sum("im").alias("im")).orderBy("cell").collect()
+    flat = np.array([complex(r["re"], r["im"]) for r in rows])
+    if not len(flat):
+        return np.zeros((cut + 1, out), complex)
+    gram, cross = flat[: (cut + 1) ** 2].reshape(cut + 1, -1), flat[(cut + 1) ** 2 :].reshape(cut + 1, -1)
+    return np.linalg.solve(gram + ridge * np.trace(gram).real / (cut + 1) * np.eye(cut + 1), cross)
+
+
+def frequency_forecast(samples: DataFrame, weights: np.ndarray, horizon: int) -> DataFrame:
+    """prediction: low bins through the map, padded with zeros, back to steps, norm undone; the last ``horizon`` of them."""
+    cut = weights.shape[0] - 1
+
+    def predict(batches):
+        for pdf in batches:
+            if len(pdf):
+                length = len(pdf["inputs"].iloc[0])
+                low, mean, std = _spectra(pdf, cut)
+                spectrum = np.zeros((len(pdf), (length + horizon) // 2 + 1), complex)
+                spectrum[:, : weights.shape[1]] = np.column_stack([low, np.ones(len(low))]) @ weights
+                whole = np.fft.irfft(spectrum, length + horizon) * ((length + horizon) / length)
+                pdf = pdf.assign(prediction=list((whole * std + mean)[:, -horizon:]))
+            else:
+                pdf = pdf.assign(prediction=[])
+            yield pdf
+
+    schema = ", ".join(f"{c} {k}" for c, k in samples.dtypes)
+    return samples.mapInPandas(predict, f"{schema}, prediction array<double>")
 
 
 def boosted_importance(df: DataFrame, features: list[str], target: str, k: int, trees: int = 10, depth: int = 4, seed: int = 7) -> list[tuple[str, float]]:

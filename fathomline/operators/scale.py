@@ -51,6 +51,12 @@ def inverse(df: DataFrame, stats: DataFrame, column: str = "scaled", mask: Colum
     return _joined(df, stats).withColumn("restored", x if mask is None else F.when(mask, x).otherwise(F.col(column))).drop("mean", "std")
 
 
+def fit_sequences(df: DataFrame, channel: str = "channel", series: str = "series") -> DataFrame:
+    """Mean and population deviation of each channel over samples and steps, NaN and NULL left out; deviation 0 counts as 1."""
+    cells = df.select(channel, F.explode(series).alias("value")).where("value IS NOT NULL AND NOT isnan(value)")
+    return cells.groupBy(channel).agg(F.avg("value").alias("mean"), F.when(F.stddev_pop("value") == 0, 1.0).otherwise(F.stddev_pop("value")).alias("std"))
+
+
 def with_z(df: DataFrame) -> DataFrame:
     """scaled, mean and std of each series by its train split, without a second reading of ``df``."""
     whole = Window.partitionBy(KEY)

@@ -170,10 +170,11 @@ def l13b(spark, sf):
     return spark.createDataFrame(boosted_importance(m, RANKED, "y", 3), "feature string, importance double")
 
 
-@query("u1_u2_u3_union_all", "SELECT event_id, 'a' AS part FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id, 'b' FROM events WHERE event_id % 3 = 0")
+@query("u1_u2_u3_union_all", "SELECT event_id, CASE WHEN event_type = 'click' THEN 'a' ELSE 'b' END AS part FROM events UNION ALL SELECT event_id, 'c' FROM events")
 def u1(spark, sf):
     e = events(spark, sf)
-    return e.where("event_id % 2 = 0").select("event_id", F.lit("a").alias("part")).unionByName(e.where("event_id % 3 = 0").select(F.lit("b").alias("part"), "event_id"))
+    parts = [e.where("series_id = 'click'").select("event_id", F.lit("a").alias("part")), e.where("series_id <> 'click'").select(F.lit("b").alias("part"), "event_id"), e.select("event_id", F.lit("c").alias("part"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("u6_columns_side_by_side", "SELECT o_orderkey, year(o_orderdate) AS y, CAST(floor(o_totalprice) AS BIGINT) % 7 AS k FROM orders")

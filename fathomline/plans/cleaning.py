@@ -95,9 +95,15 @@ def p8(spark, sf):
     return events(spark, sf).select("event_id", F.when(~(F.col("value") > 100), F.col("value")).alias("value"))
 
 
-@query("p10_all_null_columns", "SELECT count(value) AS value, count(props) AS props, count(CASE WHEN value < 0 THEN 1 END) AS negative FROM events")
+@query("p9_numeric_columns", "SELECT p_partkey, p_size, p_retailprice FROM part")
+def p9(spark, sf):
+    part = table(spark, sf, "part")
+    return part.select(*clean.numeric_columns(part))
+
+
+@query("p10_all_null_columns", "SELECT event_id, value, props FROM events")
 def p10(spark, sf):
-    return events(spark, sf).agg(F.count("value").alias("value"), F.count("props").alias("props"), F.count(F.when(F.col("value") < 0, 1)).alias("negative"))
+    return clean.drop_null_columns(events(spark, sf).select("event_id", F.when(F.col("value") < 0, 1.0).alias("negative"), "value", "props"))
 
 
 @query("p11_valid_ratio_filter", "WITH" + HOURLY + " SELECT series_id, round(avg(CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END), 9) AS valid_ratio FROM series GROUP BY 1 HAVING avg(CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END) >= 0.4")
@@ -105,9 +111,9 @@ def p11(spark, sf):
     return rounded(fill.valid_ratio(hourly(spark, sf)).where("valid_ratio >= 0.4"), 9)
 
 
-@query("p12_target_slice", "SELECT event_type AS series_id, count(*) AS n, count(CASE WHEN value > 50 THEN value END) AS feature_n FROM events WHERE event_id % 3 = 0 GROUP BY 1 HAVING count(CASE WHEN value > 50 THEN value END) > 0")
+@query("p12_target_slice", "SELECT event_type AS series_id, count(*) AS n, count(CASE WHEN value > 50 THEN value END) AS feature_n FROM events WHERE value IS NOT NULL GROUP BY 1 HAVING count(CASE WHEN value > 50 THEN value END) > 0")
 def p12(spark, sf):
-    e = events(spark, sf).where("event_id % 3 = 0")
+    e = events(spark, sf).where("value IS NOT NULL")
     return e.groupBy("series_id").agg(F.count("*").alias("n"), F.count(F.when(F.col("value") > 50, F.col("value"))).alias("feature_n")).where("feature_n > 0")
 
 

@@ -97,30 +97,60 @@ def nlinear(spark, sf):
 
 @query("dlinear_least_squares")
 def dlinear(spark, sf):
-    import numpy as np
-
     samples = windows.forecast_windows(filled(spark, sf), 24, 12)
-    w = models.fit_linear(samples, 24, 12)
-    half = np.vstack([w[:-1], w[-1:] / 2])  # one map for both parts is the joint optimum where the parts add up to the input
-    return _scored(models.dlinear(samples, half, half, 5))
+    return _scored(models.dlinear(samples, *models.fit_parts(samples, 24, 12, 5), 5))
 
 
 @query("sparsetsf_cross_period")
 def sparse(spark, sf):
-    import numpy as np
+    samples = windows.forecast_windows(filled(spark, sf), 48, 24)
+    return _scored(models.sparse_linear(samples, models.fit_cross_period(samples, 24, 48, 24), 24, 24))
+
+
+@query("fits_frequency_map")
+def fits(spark, sf):
+    samples = windows.forecast_windows(filled(spark, sf), 48, 24)
+    return _scored(models.frequency_forecast(samples, models.fit_frequencies(samples, 48, 24, 12), 24))
 
-    weights = np.vstack([np.full((2, 1), 0.5), np.zeros((1, 1))])
-    return _scored(models.sparse_linear(windows.forecast_windows(filled(spark, sf), 48, 24), weights, 24, 24))
 
+#: A map of two delays has a closed form: the normal equations of two unknowns, then steps one by one.
+MODES = """, d AS (SELECT series_id, t, value AS y, lag(value, 1) OVER o AS b, lag(value, 2) OVER o AS a FROM filled WINDOW o AS (PARTITION BY series_id ORDER BY t)),
+s AS (SELECT series_id, sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb, sum(a * y) AS ay, sum(b * y) AS yb FROM d WHERE a IS NOT NULL GROUP BY 1),
+w AS (SELECT series_id, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS p, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS q FROM s),
+e AS (SELECT series_id, max_by(b, t) AS a, max_by(y, t) AS b FROM d GROUP BY 1),
+steps AS (SELECT series_id, 0 AS h, b AS a, p * a + q * b AS b FROM e JOIN w USING (series_id) UNION ALL SELECT x.series_id, h + 1, x.b, p * x.a + q * x.b FROM steps x JOIN w ON w.series_id = x.series_id WHERE h < 11)"""
 
-@query("f19_f31_dynamic_modes")
+
+@query("f19_f31_dynamic_modes", "WITH RECURSIVE" + FILLED + MODES + " SELECT series_id, CAST(h AS BIGINT) AS h, round(b, 4) AS value FROM steps")
 def dmd(spark, sf):
-    return rounded(models.dynamic_modes(filled(spark, sf), 24, 12), 4)
+    return rounded(models.dynamic_modes(filled(spark, sf), 2, 12), 4)
+
+
+def _legendre_sql(order: int = 6) -> str:
+    a, b = models.legendre_system(order)
+    row = lambda i: " + ".join([*(f"({float(a[i, j])!r}::DOUBLE * c{j})" for j in range(order)), f"({float(b[i])!r}::DOUBLE * value)"])
+    columns = ", ".join(f"c{i}" for i in range(order))
+    return (
+        ", st AS (SELECT DISTINCT series_id, CAST(-1 AS BIGINT) AS t, " + ", ".join(f"0.0::DOUBLE AS c{i}" for i in range(order)) + " FROM filled UNION ALL SELECT f.series_id, f.t, " + ", ".join(row(i) for i in range(order))
+        + f" FROM st JOIN filled f ON f.series_id = st.series_id AND f.t = st.t + 1), z AS (SELECT * FROM st QUALIFY t = max(t) OVER (PARTITION BY series_id)) SELECT series_id, k, round([{columns}][k + 1], 4) AS value FROM z, (SELECT unnest(range(0, {order}))::INT AS k)"
+    )
 
 
-@query("f20_legendre_state")
+@query("f20_legendre_state", "WITH RECURSIVE" + FILLED + _legendre_sql())
 def legendre(spark, sf):
-    return rounded(models.legendre_state(filled(spark, sf), 6, 128), 4)
+    return rounded(models.legendre_state(filled(spark, sf), 6), 4)
+
+
+J4 = ", f AS (SELECT series_id, sample_id, h, v[5 + h] AS y_pred FROM w, (SELECT unnest([0, 1, 2, 3]) AS h) WHERE len(v) = 12), times AS (SELECT DISTINCT t - 8 - h AS sample_id, h, ts FROM filled, (SELECT unnest([0, 1, 2, 3]) AS h) WHERE t % 5 > 0)"
+
+
+@query("j4_join_on_sample_and_horizon", "WITH" + FILLED + WINDOWS.format(11) + J4 + " SELECT f.series_id, f.sample_id AS sample_index, CAST(f.h + 1 AS INT) AS horizon_index, round(y_pred, 6) AS y_pred, ts AS \"Timestamp\" FROM f LEFT JOIN times USING (sample_id, h)")
+def j4(spark, sf):
+    rows = filled(spark, sf)
+    out = models.scored_rows(models.historical_inertia(windows.forecast_windows(rows, 8, 4), 4)).select("series_id", F.col("sample_id").alias("sample_index"), (F.col("h") + 1).alias("horizon_index"), "y_pred")
+    times = rows.where("t % 5 > 0").select("t", F.col("ts").alias("Timestamp")).distinct().withColumn("horizon_index", F.explode(F.array(*(F.lit(h) for h in (1, 2, 3, 4)))))
+    times = times.select((F.col("t") - 7 - F.col("horizon_index")).alias("sample_index"), "horizon_index", "Timestamp")
+    return rounded(out.join(times, ["sample_index", "horizon_index"], "left"))
 
 
 @query("l17_prediction_export", "WITH" + FILLED + WINDOWS.format(11) + ", f AS (SELECT series_id, sample_id, h, v[5 + h] AS y_pred, v[9 + h] AS y_true FROM w, (SELECT unnest([0, 1, 2, 3]) AS h) WHERE len(v) = 12) SELECT f.series_id AS target_name, sample_id AS sample_index, CAST(h + 1 AS INT) AS horizon_index, ts AS \"Timestamp\", 8 + sample_id + h AS target_local_index, round(y_true, 6) AS y_true, round(y_pred, 6) AS y_pred, round(y_pred - y_true, 6) AS prediction_minus_true, round(abs(y_pred - y_true), 6) AS abs_error FROM f JOIN filled g ON g.series_id = f.series_id AND g.t = 8 + sample_id + h")

@@ -54,6 +54,13 @@ def x4(spark, sf):
     return events(spark, sf).groupBy(F.col("series_id").alias("label"), "user_id").agg(F.transform(ordered, lambda x: x["value"]).alias("series"))
 
 
+@query("a11_sequence_statistics", "SELECT event_type AS channel, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM events WHERE value < 400 GROUP BY 1")
+def a11(spark, sf):
+    ordered = F.array_sort(F.collect_list(F.struct("ts", "event_id", "value")))
+    gaps = F.transform(ordered, lambda x: F.when(x["value"] < 400, x["value"]).otherwise(F.lit(float("nan"))))
+    return rounded(scale.fit_sequences(events(spark, sf).groupBy(F.col("series_id").alias("channel"), "user_id").agg(gaps.alias("series"))))
+
+
 @query("x5_chronological_split", "WITH" + HOURLY + SPLIT.format("series") + " SELECT series_id, t, split FROM parts")
 def x5(spark, sf):
     return split(spark, sf, False).select("series_id", "t", "split")

@@ -61,6 +61,40 @@ def read_arrays(spark: SparkSession, path: str, split: str | None = None) -> Dat
     return df if split is None else df.where(F.col("split") == split)
 
 
+def missing_files(spark: SparkSession, path: str, names: list[str]) -> list[str]:
+    """Those of ``names`` that the folder lacks, in any file system that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [name for name in names if not files.exists(jvm.org.apache.hadoop.fs.Path(place, name))]
+
+
+def read_graph(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """One matrix of a graph written by ``write_graph``, as edges."""
+    return spark.read.parquet(path).where(F.col("kind") == kind).drop("kind")
+
+
+def load_memmap(spark: SparkSession, folder: str) -> DataFrame:
+    """Corpus rows (seq_id, seq) of a raw float32 matrix ``data.dat`` whose shape is in ``shape.npy``; NaN becomes NULL.
+
+    Records of one row each are read in splits, as the file may be far larger than one task's memory.
+    """
+    import io
+
+    import numpy as np
+
+    raw = spark.read.format("binaryFile").load(f"{folder}/shape.npy").select("content").first()["content"]
+    rows, width = (int(x) for x in np.load(io.BytesIO(raw), allow_pickle=False))
+
+    def parse(numbered):
+        for record, k in numbered:
+            x = np.frombuffer(record, "<f4")
+            yield k, [None if v != v else v for v in x.tolist()]
+
+    records = spark.sparkContext.binaryRecords(f"{folder}/data.dat", 4 * width).zipWithIndex()
+    return spark.createDataFrame(records.mapPartitions(parse), "seq_id long, seq array<float>").where(F.col("seq_id") < rows)
+
+
 def inline_rows(spark: SparkSession, rows: list[list]) -> DataFrame:
     """Request rows [[ts, v1, v2, ...], ...] to long form."""
     width = max((len(r) for r in rows), default=1)

@@ -30,6 +30,12 @@ def metrics_json(metrics: DataFrame, by: str) -> DataFrame:
     return metrics.groupBy().agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(by).cast("string"), F.struct(*fields))))).alias("m")).select(F.to_json("m").alias("metrics"))
 
 
+def write_graph(edges: DataFrame, path: str) -> None:
+    """The distances of a graph's edges and their connectivity, one folder each."""
+    both = edges.withColumn("kind", F.lit("distance")).unionByName(edges.withColumn("weight", F.lit(1.0)).withColumn("kind", F.lit("connectivity")))
+    both.write.mode("overwrite").partitionBy("kind").parquet(path)
+
+
 def merge_shards(spark, paths: list[str], out: str, files: int) -> None:
     spark.read.parquet(*paths).coalesce(files).write.mode("overwrite").parquet(out)
 

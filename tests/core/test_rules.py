@@ -186,3 +186,81 @@ def test_streaming_means(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [r.value for r in spark.table("means").orderBy("ts").collect()] == [1.0, 4.0, 7.0, 10.0]
+
+
+def test_scaled_laplacian_by_its_largest_eigenvalue(spark):
+    r = np.random.default_rng(9)
+    a = (r.random((9, 9)) < 0.5) * r.random((9, 9))
+    a = np.maximum(a, a.T)
+    np.fill_diagonal(a, 0)
+    edges = spark.createDataFrame([(i, j, float(a[i, j])) for i in range(9) for j in range(9) if a[i, j]], "src int, dst int, weight double")
+    d = np.diag(1 / np.sqrt(a.sum(1)))
+    lap = np.eye(9) - d @ a @ d
+    (out,) = graph.normalised(edges, "scalap", None)
+    got = np.zeros((9, 9))
+    for x in out.collect():
+        got[x.src, x.dst] = x.weight
+    assert np.allclose(got, 2 / np.linalg.eigvalsh(lap).max() * lap - np.eye(9), atol=1e-4)
+
+
+@pytest.mark.parametrize("n", [5, 64, 150])
+def test_legendre_state_equals_the_recurrence(spark, n):
+    x = np.random.default_rng(n).normal(size=n)
+    a, b = models.legendre_system(5)
+    c = np.zeros(5)
+    for v in x:
+        c = a @ c + b * v
+    assert np.allclose([r.value for r in models.legendre_state(series(spark, x), 5).orderBy("k").collect()], c)
+
+
+def test_dynamic_modes_follow_a_linear_system(spark):
+    t = np.arange(80)
+    x = 0.99**t * np.cos(0.3 * t) + 0.5 * 0.97**t
+    got = [r.value for r in models.dynamic_modes(series(spark, x), 4, 6).orderBy("h").collect()]
+    t = np.arange(80, 86)
+    assert np.allclose(got, 0.99**t * np.cos(0.3 * t) + 0.5 * 0.97**t, atol=1e-6)
+
+
+def test_fitted_frequency_and_period_maps(spark):
+    t = np.arange(400)
+    x = np.sin(2 * np.pi * t / 8) + 0.5 * np.cos(2 * np.pi * t / 16)
+    samples = windows.forecast_windows(series(spark, x), 32, 16)
+    for out in (
+        models.frequency_forecast(samples, models.fit_frequencies(samples, 32, 16, 9), 16),
+        models.sparse_linear(samples, models.fit_cross_period(samples, 8, 32, 16), 8, 16),
+        models.dlinear(samples, *models.fit_parts(samples, 32, 16, 5), 5),
+    ):
+        rows = out.collect()
+        assert np.allclose([r.prediction for r in rows], [r.targets for r in rows], atol=0.05)
+
+
+def test_rolling_stats_over_blocks_and_gaps(spark):
+    r = np.random.default_rng(12)
+    minutes = np.cumsum(r.choice([1, 7, 300, 2000], size=300, p=[0.5, 0.3, 0.15, 0.05]))
+    values = [None if r.random() < 0.1 else float(round(v, 2)) for v in r.normal(100, 5, size=300)]
+    ts = [T0 + dt.timedelta(minutes=int(m)) for m in minutes]
+    df = spark.createDataFrame([("a", x, v) for x, v in zip(ts, values, strict=True)], "series_id string, ts timestamp, value double")
+    got = {row.ts: row for row in clean.rolling_stats(df).collect()}
+    for x in ts:
+        near = [v for y, v in zip(ts, values, strict=True) if v is not None and x - dt.timedelta(hours=24) < y <= x]
+        assert got[x].w_n == len(near)
+        if near:
+            assert np.isclose(got[x].w_mean, np.mean(near), atol=1e-9)
+        if len(near) > 1:
+            assert np.isclose(got[x].w_std, np.std(near, ddof=1), atol=1e-8)
+
+
+def test_array_files_and_folders(spark, tmp_path):
+    x = np.arange(24, dtype="<f4").reshape(6, 4)
+    x[1, 2] = np.nan
+    x.tofile(tmp_path / "data.dat")
+    np.save(tmp_path / "shape.npy", np.array(x.shape))
+    rows = readers.load_memmap(spark, str(tmp_path)).orderBy("seq_id").collect()
+    assert [r.seq for r in rows] == [[None if v != v else v for v in row.tolist()] for row in x]
+    assert readers.missing_files(spark, str(tmp_path), ["data.dat", "meta.json"]) == ["meta.json"]
+
+
+def test_null_columns_go_and_numeric_ones_are_named(spark):
+    df = spark.createDataFrame([(1, None, "a", None), (2, None, None, 2.0)], "`a.b` long, none double, s string, d double")
+    assert clean.drop_null_columns(df).columns == ["a.b", "s", "d"] and clean.numeric_columns(df) == ["a.b", "none", "d"]
+    assert clean.drop_null_columns(df.limit(0)).columns == df.columns
