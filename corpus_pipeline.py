@@ -1,6 +1,10 @@
 """Corpus preparation: toxicity, near-duplicates, benchmark decontamination, personal data, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+
+Edges are the same for all stages: null and empty texts are kept as they are, rows without doc_id take part like others
+(but name no group of near-copies), an empty table gives an empty result, and documents may have further columns of any
+names. Of rows that repeat in doc_id and text one stays; another text under the same doc_id is a document of its own.
 """
 
 from __future__ import annotations
@@ -13,28 +17,30 @@ from fathomline.llm.shared import staged
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents judged toxic go."""
+    """Documents judged toxic go, repeated ones alike; without labels of both classes all stay."""
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: five-word shingles, Jaccard of 0.8 or more."""
+    """One document of each near-duplicate group stays, that of least doc_id: five-word shingles, Jaccard of 0.8 or more.
+    Wordless documents are like no other and stay."""
     return ngram_jaccard.keep_one(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go."""
+    """Contaminated documents go: with words in benchmark windows, a twentieth of all words or more. An empty benchmark
+    leaves all."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every span found is replaced by its kind; n_chars follows the new text."""
+    """Every span found is replaced by its kind; n_chars follows the new text (null for a null one). No row goes."""
     clean = pii.redact(pii.find_pii(docs))
     return clean.selectExpr(*(f"CAST(length(text) AS {kind}) AS n_chars" if name == "n_chars" else f"`{name}`" for name, kind in docs.dtypes))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of at most 2048."""
+    """Token sequences of at most 2048, a row for each piece. A null or empty text is its end token alone."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
