@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from fathomline.llm.shared import checkpointed
 from fathomline.llm.wordvec import Words, chunks, column, mix, tokenise
@@ -31,6 +32,8 @@ PRIOR = 0.5
 #: Bytes of the word beginnings that are features.
 BEGINNINGS = (4, 5, 6, 7, 8)
 EULER = 0.5772156649
+#: What scoring adds to a row.
+SCORED = [StructField("score", DoubleType()), StructField("segments", ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("score", DoubleType())])))]
 
 
 @dataclass
@@ -236,8 +239,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, model: Mo
     """
     model = train(docs, labels, folds) if model is None else model
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
-    kind = packed.schema["row"].dataType.simpleString()
-    out = packed.mapInArrow(_scorer(model), f"row {kind}, score double, segments array<struct<start: int, end: int, score: double>>")
+    schema = StructType([packed.schema["row"], *SCORED])
+    out = packed.mapInArrow(_scorer(model), schema)
     return out.select("row", held_out(F.col("row.doc_id"), folds).alias("held_out"), "score", F.expr("CAST(score >= 0.5 AS INT)").alias("predicted"), "segments")
 
 

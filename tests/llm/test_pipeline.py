@@ -32,3 +32,30 @@ def test_each_stage_decides_on_its_own_input(spark, tmp_path):
     assert clean[1003].text is None and clean[1].text == rows[1][1]
     pieces = cp.run(spark, str(tmp_path)).collect()
     assert {p.doc_id for p in pieces} == kept[3] and all(p.offset + p.length <= 2048 for p in pieces)
+
+
+def folder(spark, path, rows, extra=""):
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long" + extra).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (2, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1, "some words of a test item")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return spark.read.parquet(f"{path}/documents.parquet")
+
+
+def test_stages_keep_nulls_repeats_and_columns_of_any_name(spark, tmp_path):
+    names = ["row", "id", "hash", "base", "voted", "more", "gone_id", "twice_id", "bad_id", "bad_hash", "score", "predicted", "_id", "x.y"]
+    tail = ("en", None, 1, *names)
+    text = "plain words that nobody else has written down here"
+    rows = [(1, text, *tail), (1, text, *tail), (1, "another text under the same id, not like it at all", *tail), (2, None, *tail), (3, "", *tail), (None, "without any id but with words", *tail), (None, None, *tail)]
+    docs = folder(spark, tmp_path, rows, "".join(f", `{n}` string" for n in names))
+    for name, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path)).checkpoint()
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names], name
+    assert sorted(((r.doc_id, r.text) for r in docs.collect()), key=str) == sorted({r[:2] for r in rows}, key=str)
+    assert all(r["x.y"] == "x.y" and r["id"] == "id" for r in docs.collect())
+    assert {p.doc_id for p in cp.STAGES[-1][1](spark, docs, str(tmp_path)).collect()} == {1, 2, 3, None}
+
+
+def test_stages_on_an_empty_table(spark, tmp_path):
+    docs = folder(spark, tmp_path, [])
+    for _, stage in cp.STAGES:
+        assert stage(spark, docs, str(tmp_path)).collect() == []

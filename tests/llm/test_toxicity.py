@@ -1,5 +1,6 @@
 import math
 import random
+import time
 
 from fathomline.llm.toxicity import Model, _grouped, drop_toxic, score_toxicity, segments
 
@@ -91,3 +92,23 @@ def test_nothing_to_learn_from(spark):
     assert [r.predicted for r in score_toxicity(docs, marks).collect()] == [0, 0]
     assert score_toxicity(docs.limit(0), marks).collect() == []
     assert math.isclose(Model().curve[0], -30)
+
+
+def test_segments_take_linear_time():
+    r = random.Random(6)
+    took = []
+    for n in (20_000, 200_000):
+        places = [20 * k for k in range(n)]
+        weights = [r.choice([0.5, 3.0, 25.0]) for _ in places]
+        began = time.perf_counter()
+        found = segments(places, weights, -0.9)
+        took.append(time.perf_counter() - began)
+        assert all(a < b for a, b, _ in found) and all(x[1] <= y[0] for x, y in zip(found, found[1:]))
+    assert took[1] < 40 * max(took[0], 0.02)
+
+
+def test_drop_toxic_with_clashing_names(spark):
+    rows, labels = corpus(300)
+    docs = spark.createDataFrame([(d, t, d, "s", "c") for d, t, _ in rows], "doc_id long, text string, _id long, score string, `a.b` string")
+    kept = drop_toxic(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert kept.columns == docs.columns and kept.where("_id <> doc_id OR score <> 's'").isEmpty()
