@@ -110,8 +110,8 @@ def _matrix(lists: pa.Array) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
 
 
-def _sender(curves: Curves, every: int):
-    """Members and queries of each range of each ordering, packed."""
+def _sender(curves: Curves, every: int, kind: str):
+    """Members and queries of each range of each ordering, packed; components travel as ``kind``, which holds them exactly."""
 
     def send(batches):
         for batch in batches:
@@ -124,7 +124,7 @@ def _sender(curves: Curves, every: int):
             out = {"ordering": [], "range": [], "part": [], "query": [], "ids": [], "vectors": []}
 
             def put(k, b, part, query, at, ids=ids, x=x, out=out):
-                for name, value in zip(out, (k, b, part, query, ids[at].tobytes(), x[at].tobytes()), strict=True):
+                for name, value in zip(out, (k, b, part, query, ids[at].tobytes(), x[at].astype(kind).tobytes()), strict=True):
                     out[name].append(value)
 
             for k in range(len(curves.frames)):
@@ -145,34 +145,39 @@ def _sender(curves: Curves, every: int):
 
 
 def nearest(ask_ids: np.ndarray, ask: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, id, cosine) of each query's k nearest rows but itself; equal cosines by id. Rows repeated by id count once."""
-    _, once = np.unique(ids, return_index=True)
-    ids, x = ids[once], x[once]
+    """(query, id, cosine) of each query's k nearest rows but itself; equal cosines by id. Of rows that repeat an id, the
+    nearest counts."""
+    order = np.argsort(ids, kind="stable")
+    ids, x = ids[order], x[order]
+    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, np.int64)
     size, ask_size = np.sqrt((x * x).sum(1)), np.sqrt((ask * ask).sum(1))
     unit = x / size[:, None]
     out: list[tuple[int, int, float]] = []
     for i in range(0, len(ask), 256):
         rough = (ask[i : i + 256] / ask_size[i : i + 256, None]) @ unit.T
         rough[ask_ids[i : i + 256][:, None] == ids[None]] = -np.inf
-        m = min(k, len(ids))
-        floor = np.partition(rough, len(ids) - m, axis=1)[:, len(ids) - m] - 1e-9
+        best = rough if len(first) == len(ids) else np.maximum.reduceat(rough, first, axis=1)
+        m = min(k, len(first))
+        floor = np.partition(best, len(first) - m, axis=1)[:, len(first) - m] - 1e-9
         for j, line in enumerate(rough):
             at = np.flatnonzero((line >= floor[j]) & (line > -np.inf))
             # the measure itself, summed the same way for every row, so that equal vectors tie
             exact = (x[at] * ask[i + j]).sum(1) / (size[at] * ask_size[i + j])
-            best = np.lexsort((ids[at], -exact))[:k]
-            out += [(int(ask_ids[i + j]), int(ids[at[b]]), float(exact[b])) for b in best]
+            found: dict[int, float] = {}
+            for b in np.lexsort((ids[at], -exact)).tolist():
+                found.setdefault(int(ids[at[b]]), float(exact[b]))
+            out += [(int(ask_ids[i + j]), v, c) for v, c in list(found.items())[:k]]
     q, v, s = zip(*out, strict=True) if out else ((), (), ())
     return np.array(q, np.int64), np.array(v, np.int64), np.array(s)
 
 
-def _searcher(k: int):
+def _searcher(k: int, kind: str):
     def search(batches):
         held: dict[tuple[int, int, int], dict[bool, list]] = {}
         for batch in batches:
             for o, r, p, query, ids, vectors in zip(*(column(batch, c).to_pylist() for c in ("ordering", "range", "part", "query", "ids", "vectors")), strict=True):
                 ids = np.frombuffer(ids, np.int64)
-                held.setdefault((o, r, p), {True: [], False: []})[query].append((ids, np.frombuffer(vectors).reshape(len(ids), -1)))
+                held.setdefault((o, r, p), {True: [], False: []})[query].append((ids, np.frombuffer(vectors, kind).astype(np.float64).reshape(len(ids), -1)))
         for sides in held.values():
             if sides[True] and sides[False]:
                 (ask_ids, ask), (ids, x) = ((np.concatenate(y) for y in zip(*sides[side], strict=True)) for side in (True, False))
@@ -192,19 +197,20 @@ def usable(vector: Column) -> Column:
 def search(vectors: DataFrame, every: int = 50, k: int = 5, orderings: int = ORDERINGS, ranges: int = RANGES) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found by cosine of each row whose vec_id is divisible by ``every``.
 
-    Null, zero and non-finite vectors, rows without vec_id and vectors not of the most common length take no part.
-    Rows repeated by vec_id count once; ties go to the smaller vec_id. Other columns are ignored.
+    Null, zero and non-finite vectors and rows without vec_id take no part. A cosine needs vectors of one length, so each
+    length is searched on its own. Rows that repeat a vec_id count as one, by the vector that is nearest, and as queries
+    by all their vectors; ties go to the smaller vec_id. Other columns are ignored.
     """
+    kind = "<f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "<f8"
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    sizes = rows.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("d")).limit(1).collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sizes:
-        return vectors.sparkSession.createDataFrame([], schema)
-    rows = rows.where(F.size("embedding") == sizes[0]["d"])
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding", "vec_id").toArrow()
-    curves = fit(_matrix(sample.column(0).combine_chunks()), sample.column(1).to_numpy(), sizes[0]["n"], orderings, ranges, k)
-    sent = rows.mapInArrow(_sender(curves, every), "ordering int, range int, part int, query boolean, ids binary, vectors binary")
-    found = sent.repartition("ordering", "range", "part").mapInArrow(_searcher(k), "query_id long, vec_id long, score double")
+    sizes = rows.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy("d").collect()
+    found = vectors.sparkSession.createDataFrame([], "query_id long, vec_id long, score double")
+    for size in sizes:
+        same = rows.where(F.size("embedding") == size["d"])
+        sample = same.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding", "vec_id").toArrow()
+        curves = fit(_matrix(sample.column(0).combine_chunks()), sample.column(1).to_numpy(), size["n"], orderings, ranges, k)
+        sent = same.mapInArrow(_sender(curves, every, kind), "ordering int, range int, part int, query boolean, ids binary, vectors binary")
+        found = found.unionByName(sent.repartition("ordering", "range", "part").mapInArrow(_searcher(k, kind), "query_id long, vec_id long, score double"))
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return merged.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -54,6 +54,23 @@ def test_exact_where_windows_hold_all(spark):
     assert run(spark, rows, ranges=1) == brute(rows, 50, 5)
 
 
+def test_lengths_and_repeated_ids(spark):
+    r = random.Random(13)
+    vector = lambda n: [r.gauss(0, 1) for _ in range(n)]
+    rows = [(k, vector(12)) for k in range(40)] + [(1000 + k, vector(7)) for k in range(0, 60, 10)] + [(k, vector(12)) for k in (3, 4, 5, 50, 50)]
+    want = {}
+    for q, a in rows:
+        for i, b in rows:
+            if q % 50 == 0 and i != q and len(a) == len(b):
+                c = float((np.array(a) * b).sum() / (np.linalg.norm(a) * np.linalg.norm(b)))
+                want[q, i] = max(c, want.get((q, i), -2.0))
+    got = run(spark, rows)
+    for q in {q for q, _ in want}:
+        best = sorted((-c, i) for (p, i), c in want.items() if p == q)[:5]
+        assert [(i, round(-c, 9)) for c, i in best] == [(i, round(c, 9)) for _, _, i, c in sorted(x for x in got if x[0] == q)]
+    assert {x[0] for x in got} == {q for q, _ in want}
+
+
 def test_few_and_none(spark):
     assert run(spark, []) == set()
     assert run(spark, [(0, [1.0] * 12)]) == set()
