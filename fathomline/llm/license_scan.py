@@ -161,7 +161,8 @@ def _scanner(templates: dict[str, str], coverage: float):
             for k, matches in enumerate(found):
                 text = (texts[k].as_py() or "").encode()
                 # byte places in the chunk become code points in the text
-                point = lambda b, text=text, first=first: len(text[: b - first].decode())
+                letters = np.append(0, np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)) if matches else None
+                point = lambda b, letters=letters, first=first: int(letters[b - first])
                 count.append(len(matches))
                 names.append(",".join(sorted({m[0] for m in matches})))
                 spans.append(",".join(f"{n}:{point(a)}:{point(b)}:{c:.4f}" for n, a, b, c in matches))
