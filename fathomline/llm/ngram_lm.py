@@ -107,18 +107,23 @@ def _keys(record: np.ndarray, order: int) -> np.ndarray:
     return record["left"].copy() if order == 1 else _joined(record["left"], record["right"])
 
 
-def _sum(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys, ascending, and GRAM records with equal keys added up."""
+def _totals(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, ascending, the first GRAM record of each and its count over all parts, in 64 bits."""
     all_ = np.concatenate(parts) if parts else np.zeros(0, GRAM)
     key = _keys(all_, order)
     by = np.argsort(key)
     key, all_ = key[by], all_[by]
     if not len(all_):
-        return key, all_
+        return key, all_, np.zeros(0, np.int64)
     at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    out = all_[at]
-    out["n"] = np.minimum(np.add.reduceat(all_["n"].astype(np.int64), at), 0xFFFFFFFF)
-    return key[at], out
+    return key[at], all_[at], np.add.reduceat(all_["n"].astype(np.int64), at)
+
+
+def _sum(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and GRAM records with equal keys added up. One task's counts stay far below 2**32: its tokens are fewer."""
+    key, out, n = _totals(parts, order)
+    out["n"] = n
+    return key, out
 
 
 def _dealt(key: np.ndarray, record: np.ndarray, kind: int, buckets: int) -> pa.RecordBatch:
@@ -168,10 +173,10 @@ def _reduce(batches):
         for bucket, kind, blob in zip(column(batch, "bucket").to_pylist(), column(batch, "kind").to_pylist(), column(batch, "blob"), strict=True):
             parts.setdefault((bucket, kind), []).append(np.frombuffer(blob.as_buffer(), GRAM))
     for (_, kind), held in parts.items():
-        key, total = _sum(held, kind)
-        keep = total["n"] >= (1 if kind == 1 else 2)
-        key, total = key[keep], total[keep]
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (key, total["left"], total["right"])), pa.array(total["n"].astype(np.int64))], names=["kind", "key", "left", "right", "n"])
+        key, total, n = _totals(held, kind)
+        keep = n >= (1 if kind == 1 else 2)
+        key, total, n = key[keep], total[keep], n[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (key, total["left"], total["right"])), pa.array(n)], names=["kind", "key", "left", "right", "n"])
 
 
 def _weights(counts: DataFrame, least: int, bottom: float) -> DataFrame:
