@@ -63,8 +63,16 @@ def reconstruction_mask(t: Column, channel: Column, percent: int) -> Column:
     return F.pmod(t * 7919 + channel * 104_729, F.lit(100)) >= percent
 
 
-def random_mask(ratio: float, seed: int) -> Column:
-    return F.rand(seed) > ratio
+def uniform(seed: int, *keys: Column | str) -> Column:
+    """A number in [0, 1) from a hash of seed and keys: the same for a row wherever and whenever it is computed, so a lost
+    task draws what it drew before."""
+    code = F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), *(F.col(k) if isinstance(k, str) else k for k in keys)).cast("binary")), 1, 12)
+    return F.conv(code, 16, 10).cast("double") / float(1 << 48)
+
+
+def random_mask(ratio: float, seed: int, *keys: Column | str) -> Column:
+    """Visible cells: all but a share of ``ratio``, by a hash of the keys."""
+    return uniform(seed, *keys) > ratio
 
 
 def tolerant_double(text: Column) -> Column:

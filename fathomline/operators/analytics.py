@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathomline.functions.scalars import uniform
 from fathomline.operators.grid import KEY
 
 
@@ -78,8 +79,9 @@ def principal_components(df: DataFrame, column: str, k: int = 2) -> DataFrame:
     return PCA(k=k, inputCol="_vec", outputCol="_pc").fit(rows).transform(rows).withColumn("component", vector_to_array("_pc")).drop("_vec", "_pc")
 
 
-def random_sample(df: DataFrame, n: int, seed: int) -> DataFrame:
-    return df.orderBy(F.rand(seed)).limit(n)
+def random_sample(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
+    """``n`` rows without replacement: those of least hash, by a top-n in every task."""
+    return df.orderBy(uniform(seed, key), key).limit(n)
 
 
 def preview(df: DataFrame, n: int, order: str, last: bool = False) -> DataFrame:

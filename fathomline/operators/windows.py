@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathomline.functions.scalars import uniform
 from fathomline.operators.grid import KEY, in_order
 
 
@@ -56,8 +59,9 @@ def pad_to(a: Column, length: int) -> Column:
     return F.slice(F.concat(a, F.array_repeat(F.lit(None).cast("double"), length)), 1, length)
 
 
-def random_crop(df: DataFrame, length: int, seed: int, column: str = "seq") -> DataFrame:
-    at = F.floor(F.rand(seed) * (F.greatest(F.col("valid_end") - length, F.lit(0)) + 1)).cast("int") + 1
+def random_crop(df: DataFrame, length: int, seed: int, key: str, column: str = "seq") -> DataFrame:
+    """``length`` steps from a random place within the valid ones; ``key`` names the row that the place is drawn for."""
+    at = F.floor(uniform(seed, key) * (F.greatest(F.col("valid_end") - length, F.lit(0)) + 1)).cast("int") + 1
     return df.withColumn(column, pad_to(F.slice(column, at, length), length))
 
 
@@ -67,25 +71,35 @@ def shifted(df: DataFrame, column: str = "seq") -> DataFrame:
     return df.withColumn("inputs", F.slice(F.col(column), F.lit(1), n - 1)).withColumn("targets", F.slice(F.col(column), F.lit(2), n - 1))
 
 
-def mixup(df: DataFrame, k_max: int, alpha: float, seed: int, length: int, column: str = "seq") -> DataFrame:
-    """Convex mixtures of up to ``k_max`` neighbouring rows of a random order, with gamma-normalised weights.
+def mixup(df: DataFrame, k_max: int, alpha: float, seed: int, length: int, key: str, column: str = "seq") -> DataFrame:
+    """(mixture, column): convex mixtures of random rows, each scaled by its own mean and deviation, with Dirichlet weights.
 
-    Rows are dealt to groups of ``k_max`` by a random key; each group is one mixture, so nothing is collected.
+    Rows are dealt at random to half as many groups, so that groups differ in size; the first ``k_max`` of a group, in
+    random order, are mixed. Weights are gamma variates over their sum; ``alpha`` is a multiple of one half: a gamma variate
+    is then a sum of exponential ones and half a squared normal one.
     """
-    group = df.withColumn("_g", F.floor(F.rand(seed) * F.lit(1 << 30)) % F.greatest(F.lit(1), F.lit((1 << 30) // k_max)))
-    weight = F.pow(-F.log(1 - F.rand(seed + 1)), F.lit(1.0 / alpha))
-    normed = group.select("_g", weight.alias("_w"), z_norm(F.transform(F.col(column), lambda x: F.coalesce(x, F.lit(0.0))), 1e-8).alias("_s"))
-    cells = normed.select("_g", "_w", F.posexplode(F.slice("_s", 1, length)).alias("pos", "x"))
-    mixed = cells.groupBy("_g", "pos").agg((F.sum(F.col("x") * F.col("_w")) / F.sum("_w")).alias("x"))
-    return mixed.groupBy("_g").agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("_c")).select(F.transform("_c", lambda c: c["x"]).alias(column))
+    if alpha <= 0 or 2 * alpha != int(2 * alpha):
+        raise ValueError("alpha must be a positive multiple of 0.5")
+    total = F.broadcast(df.agg(F.count("*").alias("_n")))  # one row
+    dealt = df.join(total).withColumn("mixture", F.floor(uniform(seed, key) * F.greatest(F.expr("_n DIV 2"), F.lit(1))))
+    few = dealt.withColumn("_k", F.row_number().over(Window.partitionBy("mixture").orderBy(uniform(seed + 1, key), key))).where(F.col("_k") <= k_max)
+    whole = int(alpha)
+    exponential = lambda k: -F.log(1 - uniform(seed + 2 + k, key))
+    parts = [exponential(k) for k in range(whole)]
+    if alpha > whole:
+        parts.append(exponential(whole) * F.pow(F.cos(2 * math.pi * uniform(seed + 3 + whole, key)), F.lit(2.0)))
+    normed = few.select("mixture", sum(parts[1:], parts[0]).alias("_w"), z_norm(F.col(column), 1e-8).alias("_s"))
+    cells = normed.select("mixture", "_w", F.posexplode(F.slice("_s", 1, length)).alias("pos", "x")).where("x IS NOT NULL")
+    mixed = cells.groupBy("mixture", "pos").agg((F.sum(F.col("x") * F.col("_w")) / F.sum("_w")).alias("x"))
+    return mixed.groupBy("mixture").agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("_c")).select("mixture", F.transform("_c", lambda c: c["x"]).alias(column))
 
 
 def encode_labels(df: DataFrame, label: str) -> DataFrame:
     """label codes: places among the sorted distinct labels (as strings). Codes come from the distinct labels, so no
-    window runs over the rows."""
-    names = df.select(F.col(label).cast("string").alias("_name")).distinct()
-    codes = names.groupBy().agg(F.array_sort(F.collect_set("_name")).alias("_all")).select(F.posexplode("_all").alias("label_code", "_name"))
-    return df.join(F.broadcast(codes), F.col(label).cast("string") == F.col("_name")).drop("_name")
+    window runs over the rows; whether they are broadcast is left to their size."""
+    names = df.select(F.col(label).cast("string").alias("_name")).distinct().where("_name IS NOT NULL")
+    codes = names.select("_name", (F.row_number().over(Window.orderBy("_name")) - 1).alias("label_code"))
+    return df.join(codes, F.col(label).cast("string") == F.col("_name")).drop("_name")
 
 
 def patches(df: DataFrame, length: int = 16, stride: int = 8, pad_end: bool = True) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fathomline.functions import scalars as s
 from fathomline.operators import align, features, grid
 from fathomline.operators.grid import in_order
-from fathomline.plans.base import FILLED, HOURLY, events, filled, hourly, query, rounded, table
+from fathomline.plans.base import FILLED, HOURLY, events, filled, hourly, query, rounded, table, uniform_sql
 
 RULE_HOURS = list(range(1, 24, 2))
 
@@ -89,7 +90,7 @@ def l16(spark, sf):
 
 @query("j9_node_remap", "WITH ids AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey DESC) - 1 AS p FROM supplier) SELECT l_orderkey, l_linenumber, p AS node FROM lineitem JOIN ids ON l_suppkey = s_suppkey")
 def j9(spark, sf):
-    ids = table(spark, sf, "supplier").groupBy().agg(F.sort_array(F.collect_list("s_suppkey"), asc=False).alias("all")).select(F.posexplode("all").alias("node", "l_suppkey"))
+    ids = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), (F.row_number().over(Window.orderBy(F.desc("s_suppkey"))) - 1).alias("node"))
     return table(spark, sf, "lineitem").join(ids, "l_suppkey").select("l_orderkey", "l_linenumber", F.col("node").cast("long").alias("node"))
 
 
@@ -195,8 +196,8 @@ def o7(spark, sf):
     return preview(events(spark, sf).select("event_id", "value"), 50, "event_id", last=True)
 
 
-@query("o8_random_sample")
+@query("o8_random_sample", f"SELECT event_id FROM events ORDER BY {uniform_sql(5, 'event_id')}, event_id LIMIT 1000")
 def o8(spark, sf):
     from fathomline.operators.analytics import random_sample
 
-    return random_sample(events(spark, sf).select("event_id"), 1000, 5)
+    return random_sample(events(spark, sf).select("event_id"), 1000, 5, "event_id")

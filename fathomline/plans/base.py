@@ -64,6 +64,11 @@ def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill.interpolate(hourly(spark, sf_dir), edges=True)
 
 
+def uniform_sql(seed: int, *keys: str) -> str:
+    """The SQL of ``functions.scalars.uniform``."""
+    return f"(('0x' || substr(md5(concat_ws('-', '{seed}', {', '.join(keys)})), 1, 12))::BIGINT / 281474976710656.0::DOUBLE)"
+
+
 def naive(ts: str = "ts"):
     return F.col(ts).cast("timestamp_ntz").alias(ts)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fathomline.functions import scalars as s
 from fathomline.operators import grid, models, scale, windows
-from fathomline.plans.base import FILLED, HOURLY, events, filled, hourly, query, rounded, table
+from fathomline.plans.base import FILLED, HOURLY, events, filled, hourly, query, rounded, table, uniform_sql
 
 SPLIT = ", n AS (SELECT *, count(*) OVER (PARTITION BY series_id) AS n FROM {0}), parts AS (SELECT series_id, t, ts, value, CASE WHEN t < floor(n * 0.6) THEN 'train' WHEN t < floor(n * 0.6) + floor(n * 0.2) THEN 'val' ELSE 'test' END AS split FROM n)"
 WINDOWS = ", w AS (SELECT series_id, t AS sample_id, list(value) OVER f AS v FROM filled WINDOW f AS (PARTITION BY series_id ORDER BY t ROWS BETWEEN CURRENT ROW AND {0} FOLLOWING))"
@@ -77,14 +77,22 @@ def x7(spark, sf):
     return windows.corpus_rows(gaps, 4, 4).select("user_id", "valid_end")
 
 
-@query("x8_mixup")
+MIX = f""", n AS (SELECT count(*) AS n FROM seqs), dealt AS (SELECT user_id, seq, CAST(floor({uniform_sql(11, 'user_id')} * greatest(n // 2, 1)) AS BIGINT) AS g, {uniform_sql(12, 'user_id')} AS o,
+  -ln(1 - {uniform_sql(13, 'user_id')}) - ln(1 - {uniform_sql(14, 'user_id')}) * cos(2 * pi() * {uniform_sql(15, 'user_id')}) ** 2 AS w FROM seqs, n),
+few AS (SELECT * FROM dealt QUALIFY row_number() OVER (PARTITION BY g ORDER BY o, user_id) <= 3),
+normed AS (SELECT g, w, seq, list_avg(seq) AS m, CASE WHEN list_stddev_pop(seq) < 1e-8 THEN 1.0 ELSE list_stddev_pop(seq) END AS s FROM few),
+cells AS (SELECT g, w, i, (seq[i] - m) / s AS x FROM normed, (SELECT unnest(range(1, 5)) AS i) WHERE i <= len(seq))
+SELECT mixture, list(round(x, 5) ORDER BY i) AS seq FROM (SELECT g AS mixture, i, sum(w * x) / sum(w) AS x FROM cells GROUP BY 1, 2) GROUP BY 1"""
+
+
+@query("x8_mixup", f"WITH {SEQ}" + MIX)
 def x8(spark, sf):
-    return windows.mixup(sequences(spark, sf), 3, 1.5, 11, 4)
+    return arrays(windows.mixup(sequences(spark, sf), 3, 1.5, 11, 4, "user_id"), "seq", digits=5)
 
 
-@query("x9_random_crop")
+@query("x9_random_crop", f"WITH {SEQ} SELECT user_id, list_transform(range(p, p + 4), lambda i: seq[i]) AS seq FROM (SELECT user_id, seq, CAST(floor({uniform_sql(3, 'user_id')} * (len(seq) - 4 + 1)) AS BIGINT) + 1 AS p FROM seqs WHERE len(seq) >= 4)")
 def x9(spark, sf):
-    return windows.random_crop(windows.corpus_rows(sequences(spark, sf), 4, 4), 4, 3)
+    return windows.random_crop(windows.corpus_rows(sequences(spark, sf), 4, 4), 4, 3, "user_id").select("user_id", "seq")
 
 
 @query("x10_x11_sample_norm_and_anomalies", f"WITH {SEQ}, z AS (SELECT user_id, seq, list_avg(seq) AS m, list_stddev_pop(seq) AS s FROM seqs) SELECT user_id, list_transform(seq, lambda x: round(CASE WHEN abs((x - m) / (CASE WHEN s < 1e-3 THEN 1 ELSE s END)) <= 1.5 THEN (x - m) / (CASE WHEN s < 1e-3 THEN 1 ELSE s END) END, 5)) AS seq FROM z")
@@ -177,9 +185,9 @@ def c8(spark, sf):
     return hourly(spark, sf).select("series_id", "t", s.reconstruction_mask(F.col("t"), F.ascii("series_id"), 25).alias("visible"))
 
 
-@query("c8_random_mask")
+@query("c8_random_mask", "WITH" + HOURLY + f" SELECT series_id, t, {uniform_sql(3, 'series_id', 't')} > 0.25 AS visible FROM series")
 def c8r(spark, sf):
-    return hourly(spark, sf).select("series_id", "t", s.random_mask(0.25, 3).alias("visible"))
+    return hourly(spark, sf).select("series_id", "t", s.random_mask(0.25, 3, "series_id", "t").alias("visible"))
 
 
 @query("c9_instance_norm", "WITH" + FILLED + ", b AS (SELECT series_id, t // 48 AS sample_id, t, value FROM filled), m AS (SELECT *, avg(value) OVER w AS c, sqrt(var_pop(value) OVER w + 1e-6) AS s FROM b WINDOW w AS (PARTITION BY series_id, sample_id)) SELECT series_id, t, round((value - c) / s, 5) AS normed, round(value, 5) AS restored FROM m")
