@@ -62,6 +62,11 @@ def _dot(inputs: Column, weights: np.ndarray, shift: Column | None = None) -> Co
     return out if shift is None else F.transform(out, lambda v: v + shift)
 
 
+def linear(samples: DataFrame, weights: np.ndarray) -> DataFrame:
+    """One linear map of the inputs, the shortcut of light sampling networks."""
+    return samples.withColumn("prediction", _dot(F.col("inputs"), weights))
+
+
 def nlinear(samples: DataFrame, weights: np.ndarray) -> DataFrame:
     """Subtract the last input, map, add it back."""
     return samples.withColumn("prediction", _dot(F.col("inputs"), weights, F.element_at("inputs", -1)))

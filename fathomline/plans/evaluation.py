@@ -107,6 +107,12 @@ def sparse(spark, sf):
     return _scored(models.sparse_linear(samples, models.fit_cross_period(samples, 24, 48, 24), 24, 24))
 
 
+@query("lightts_shortcut")
+def shortcut(spark, sf):
+    samples = windows.forecast_windows(filled(spark, sf), 24, 12)
+    return _scored(models.linear(samples, models.fit_linear(samples, 24, 12)))
+
+
 @query("fits_frequency_map")
 def fits(spark, sf):
     samples = windows.forecast_windows(filled(spark, sf), 48, 24)

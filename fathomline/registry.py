@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathomline.plans import alignment, base, cleaning, evaluation, graphs, samples, spectra, storage
+from fathomline.plans import alignment, attention, base, cleaning, evaluation, graphs, samples, spectra, storage
 from fathomline.plans.evaluation import flagship
 
-__all__ = ["alignment", "cleaning", "evaluation", "flagship", "graphs", "oracle_sql", "queries", "samples", "spectra", "storage"]
+__all__ = ["alignment", "attention", "cleaning", "evaluation", "flagship", "graphs", "oracle_sql", "queries", "samples", "spectra", "storage"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
