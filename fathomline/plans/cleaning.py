@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fathomline.functions import scalars as s
 from fathomline.operators import clean, fill, grid, scale
-from fathomline.plans.base import FILLED, HOURLY, NEIGHBOURS, events, filled, hourly, query, rounded, table
+from fathomline.plans.base import FILLED, HOURLY, NEIGHBOURS, events, filled, hourly, query, rounded, table, uniform_sql
 from fathomline.sources import readers
 
 DIRTY = "SELECT event_id, event_type AS series_id, ts, CASE WHEN event_id % 10 = 0 THEN 0.0 ELSE value END AS value FROM events"
@@ -53,9 +53,9 @@ def s16(spark, sf):
     return readers.pulse_series(spark)
 
 
-@query("s15_gaussian_series")
+@query("s15_gaussian_series", f"SELECT 'gaussian' AS series_id, id AS t, round(sqrt(-2 * ln(1 - {uniform_sql(0, 'id')})) * cos(2 * pi() * {uniform_sql(1, 'id')}), 9) AS value FROM (SELECT unnest(range(0, 10000)) AS id)")
 def s15(spark, sf):
-    return readers.gaussian_series(spark)
+    return rounded(readers.gaussian_series(spark), 9)
 
 
 @query("s17_split_selection", "WITH" + HOURLY + ", n AS (SELECT *, count(*) OVER (PARTITION BY series_id) AS n FROM series) SELECT series_id, t, ts, round(value, 6) AS value FROM n WHERE t >= floor(n * 0.6) + floor(n * 0.2)")
