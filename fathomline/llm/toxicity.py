@@ -216,9 +216,12 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = SAMP
     return model
 
 
-def _scorer(model: Model):
+def _scorer(model: Model, text: str):
+    """Rows come as one struct; its text is read where it lies, so that it travels once."""
+
     def score(batches):
-        for batch in chunks(batches):
+        rows = (column(batch, "row") for batch in batches)
+        for batch in chunks(pa.RecordBatch.from_arrays([row, row.field(text)], names=["row", "text"]) for row in rows):
             chance, found_ = [], []
             for n, found in _scan(column(batch, "text"), model):
                 a, b = _features(n, found, model)
@@ -238,9 +241,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, model: Mo
     repeated rows are scored each; repeated labels count once, toxic if any says so. Needs columns doc_id and text.
     """
     model = train(docs, labels, folds) if model is None else model
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    text = next(c for c in docs.columns if c.lower() == "text")
     schema = StructType([packed.schema["row"], *SCORED])
-    out = packed.mapInArrow(_scorer(model), schema)
+    out = packed.mapInArrow(_scorer(model, text), schema)
     return out.select("row", held_out(F.col("row.doc_id"), folds).alias("held_out"), "score", F.expr("CAST(score >= 0.5 AS INT)").alias("predicted"), "segments")
 
 
