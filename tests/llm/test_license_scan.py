@@ -69,3 +69,11 @@ def test_matches_do_not_cross_texts():
     line = TEMPLATES["GPL-3.0-line"].split()
     texts = pa.array([" ".join(line[:6]), " ".join(line[6:])])
     assert scan(texts, build_index(TEMPLATES)) == [[], []]
+
+
+def test_sister_licenses_and_many_matches():
+    index = build_index(TEMPLATES)
+    names = lambda text: {m[0] for m in scan(pa.array([text]), index)[0]}
+    assert names(TEMPLATES["GPL-3.0"]) == {"GPL-3.0"} and names(TEMPLATES["AGPL-3.0"]) == {"AGPL-3.0"}
+    assert {"BSD", "BSD-3-Clause-third", "BSD-disclaimer"} <= names(" ".join(TEMPLATES[n] for n in ("BSD", "BSD-3-Clause-third", "BSD-disclaimer")))
+    assert len(scan(pa.array([" and ".join([TEMPLATES["MIT-line"]] * 3000)]), index)[0]) == 3000
