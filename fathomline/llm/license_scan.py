@@ -151,7 +151,7 @@ def align(template: np.ndarray, text: np.ndarray, shift: int, band: int = BAND)
 
 def scan(texts: pa.Array, index: Index, coverage: float = COVERAGE, gram: int = GRAM, band: int = BAND) -> list[list[tuple[str, int, int, float]]]:
     """For each text: (template, first byte, one past the last byte, covered share of the template); of overlapping matches
-    that have as many words, the better covered."""
+    the one that has as many words and is as well covered."""
     w = tokenise(texts, lower=True, items=True)
     h = w.hashes()
     out: list[list[tuple[str, int, int, float]]] = [[] for _ in range(len(texts))]
@@ -187,13 +187,15 @@ def scan(texts: pa.Array, index: Index, coverage: float = COVERAGE, gram: int =
 
 
 def _best(found: list[tuple]) -> list[tuple[str, int, int, float]]:
-    """Matches in order, without those whose place another one explains better: more of its template by as many words.
-    Sister licenses share most of theirs. Matches of one template do not overlap, so few are compared with each other."""
+    """Matches in order, without those whose place another one explains better: as much of its template by as many words,
+    and more of either. Sister licenses share most of theirs, and some lines begin a longer notice. Matches of one template do not overlap, so few are compared with each other."""
     kept, near, worse = sorted(found, key=lambda m: (m[1], m[0])), [], set()
-    better = lambda y, m: y[3] > m[3] and y[4] >= m[4]
+    better = lambda y, m: y[3] >= m[3] and y[4] >= m[4] and (y[3], y[4]) != (m[3], m[4])
     for k, m in enumerate(kept):
         near = [j for j in near if kept[j][2] > m[1]]
         for j in near:
+            if 2 * (min(kept[j][2], m[2]) - m[1]) < min(kept[j][2] - kept[j][1], m[2] - m[1]):
+                continue  # they touch: an alignment may reach a word too far
             if better(kept[j], m):
                 worse.add(k)
             elif better(m, kept[j]):
