@@ -7,13 +7,15 @@ Two independent streams (``seed`` 0 and 1) give 128 bits where equality must not
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -34,7 +36,7 @@ def powers(seed: int, inverse: bool, n: int) -> np.ndarray:
         base = np.full(max(n, 1 << 16), (_INVERSE if inverse else _MULTIPLIER)[seed], dtype=np.uint64)
         base[0] = 1
         have = np.multiply.accumulate(base)
-        if n <= 4 * CHUNK_BYTES:
+        if n <= CHUNK_BYTES + 1:  # a longer text has its own, for as long as it lasts
             _powers[seed, inverse] = have
     return have[:n]
 
@@ -148,8 +150,16 @@ def tokenise(column: pa.Array, lower: bool = False, items: bool = False, parts:
     return Words(data, start, end, np.searchsorted(start, offsets))
 
 
+def release() -> None:
+    """Hands memory that this worker no longer uses back to the system: workers outlive their tasks and wait for the next."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def chunks(batches, text: str = "text", size: int = CHUNK_BYTES):
     """Record batches cut so that each holds about ``size`` bytes of text; one longer document stays whole."""
+    release()
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         _, offsets = text_bytes(column)
@@ -158,6 +168,7 @@ def chunks(batches, text: str = "text", size: int = CHUNK_BYTES):
             high = min(n, max(low + 1, int(np.searchsorted(offsets, offsets[low] + size))))
             yield batch.slice(low, high - low)
             low = high
+    release()
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
