@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,10 +38,14 @@ def positions(df: DataFrame, order: str = "ts") -> DataFrame:
 
 
 def chronological_split(df: DataFrame, ratios: tuple[float, float, float], normalise: bool = False) -> DataFrame:
-    """split: the first int(n * r0) steps train, the next int(n * r1) validate, the rest test."""
-    total = sum(ratios) if normalise else 1.0
+    """split: the first int(n * r0) steps train, the next int(n * r1) validate, the rest test.
+
+    Ratios are taken as the decimals that they are written as, so 0.7 of 360 steps are 252; normalised ones are quotients in doubles.
+    """
+    total = sum(ratios)
+    share = lambda r: r / total if normalise else F.lit(Decimal(str(r)))
     n = F.count(F.lit(1)).over(Window.partitionBy(KEY))
-    a, b = F.floor(n * (ratios[0] / total)), F.floor(n * (ratios[1] / total))
+    a, b = F.floor(n * share(ratios[0])), F.floor(n * share(ratios[1]))
     return df.withColumn("split", F.when(F.col("t") < a, "train").when(F.col("t") < a + b, "val").otherwise("test"))
 
 
