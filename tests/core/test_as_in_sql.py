@@ -1,10 +1,38 @@
 """Edges on which a query must agree with its SQL to the letter, one small table each."""
 
+import datetime as dt
+
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from fathomline import registry
 from fathomline.operators import grid
 
+T0 = dt.datetime(2024, 1, 1)
+
+
 def test_split_shares_are_decimals(spark):
     df = spark.range(360).select(F.lit("a").alias("series_id"), F.col("id").alias("t"))
     parts = grid.chronological_split(df, (0.7, 0.1, 0.2)).groupBy("split").count().collect()
     assert {r["split"]: r["count"] for r in parts} == {"train": 252, "val": 36, "test": 72}
+
+
+@pytest.fixture
+def near_mean(spark, tmp_path):
+    """Events of one user, one of them less than half a step of the rounding below the mean."""
+    rows = [(k, T0 + dt.timedelta(minutes=k), 0, "view", v, "{}") for k, v in enumerate([499999.5, 0.0, 1000000.0])]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    return tmp_path
+
+
+def as_text(spark, name, sf):
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW events AS SELECT * FROM '{sf}/events.parquet/*.parquet'")
+        expected = [row[-1] for row in db.execute(registry.oracle_sql()[name]).fetchall()]
+    return str([r["seq"] for r in registry.queries()[name](spark, str(sf)).collect()]), str(expected)
+
+
+def test_mixup_keeps_the_sign_of_rounded_zero(spark, near_mean):
+    got, expected = as_text(spark, "x8_mixup", near_mean)
+    assert got == expected and "-0.0" in got
