@@ -36,3 +36,8 @@ def as_text(spark, name, sf):
 def test_mixup_keeps_the_sign_of_rounded_zero(spark, near_mean):
     got, expected = as_text(spark, "x8_mixup", near_mean)
     assert got == expected and "-0.0" in got
+
+
+def test_sample_norm_keeps_the_sign_of_rounded_zero(spark, near_mean):
+    got, expected = as_text(spark, "x10_x11_sample_norm_and_anomalies", near_mean)
+    assert got == expected and "-0.0" in got
