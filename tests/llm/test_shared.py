@@ -20,3 +20,12 @@ def test_a_checkpoint_leaves_no_shuffle_files(spark):
     assert not files() - before
     assert out.count() == 100
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_arrow_batches_of_a_checkpoint_are_bounded_by_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield batch.from_pydict({"bytes": [batch.nbytes]})
+
+    wide = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 1 << 18).alias("text"))
+    assert checkpointed(wide.mapInArrow(sizes, "bytes long")).agg(F.max("bytes")).first()[0] < 10 << 20
