@@ -12,13 +12,14 @@ and so of bounded number, are known to every task and are not requested. That ch
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.shared import checkpointed
+from fathomline.llm.shared import checkpointed, dropped
 from fathomline.llm.toxicity import held_out
 from fathomline.llm.wordvec import chunks, column, mix, ranges, tokenise
 
@@ -30,6 +31,8 @@ DISCOUNT = 0.5
 SMOOTH = 0.1
 END = mix(np.array([0x5E0D], np.uint64))[0]
 FLUSH = 1_000_000
+#: Slices of the n-grams, counted one after the other, and of the documents, scored so: only one slice's traffic lies on disk.
+COUNT_SLICES, SCORE_SLICES = 4, 4
 COUNTED = np.dtype([("key", "<u8"), ("n", "<u4")])
 GRAM = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<u4")])
 WEIGHT = np.dtype([("key", "<u8"), ("own", "<f8"), ("rest", "<f8")])
@@ -140,13 +143,15 @@ def _rows(buckets, kind: int, blobs: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array([kind] * len(blobs), pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "kind", "blob"])
 
 
-def _counts(buckets: int):
-    """N-grams of each text's token stream, counted within the task before they are dealt."""
+def _counts(buckets: int, slice_: int = 0, slices: int = 1):
+    """N-grams of each text's token stream whose keys are in the slice, counted within the task before they are dealt."""
 
     def count(batches):
         held, size = {1: [], 2: [], 3: []}, {1: 0, 2: 0, 3: 0}
         for batch in chunks(batches):
             for order, record in enumerate(_ends(*_stream(column(batch, "text"))), 1):
+                if slices > 1:
+                    record = record[(_keys(record, order) >> np.uint64(8)) % np.uint64(slices) == slice_]
                 part = _sum([record], order)[1]
                 held[order].append(part)
                 size[order] += len(part)
@@ -179,8 +184,10 @@ def _reduce(batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (key, total["left"], total["right"])), pa.array(n)], names=["kind", "key", "left", "right", "n"])
 
 
-def _weights(counts: DataFrame, least: int, bottom: float) -> DataFrame:
-    """kind, key, n, own, rest: log10(c + 0.1) of words, and what each word, bigram and trigram adds to the score besides."""
+def _weights(slices: list[DataFrame], least: int, bottom: float) -> list[DataFrame]:
+    """kind, key, n, own, rest: log10(c + 0.1) of words, and what each word, bigram and trigram adds to the score besides.
+    The counts, and what is made of them, are dropped when they have been used."""
+    counts = reduce(DataFrame.unionAll, slices)
     grams = lambda kind: counts.where(f"kind = {kind}" + (f" AND n >= {least}" if kind > 1 else ""))
     ended = lambda df, ends, low: (
         df.join(ends.select(F.col("key").alias("left"), F.col("n").alias("n_left")), "left")
@@ -188,19 +195,21 @@ def _weights(counts: DataFrame, least: int, bottom: float) -> DataFrame:
         .select("key", "left", "n", ((F.col("n") - DISCOUNT) / F.col("n_left")).alias("p"), "low")
     )
     fail = lambda df: df.groupBy("left").agg(F.log10((1 - F.sum("p")) / (1 - F.sum("low"))).alias("fail"))
-    words = grams(1).select("key", "n")
+    words = checkpointed(grams(1).select("key", "n"))
     two = checkpointed(ended(grams(2), words, (F.col("n") + SMOOTH) / 10**bottom))
     three = checkpointed(ended(grams(3), two, F.col("p")))
+    dropped(*slices)
     fail1, fail2 = checkpointed(fail(two)), checkpointed(fail(three))
     beyond = lambda df, f: df.join(f, "left").withColumn("arc", F.log10("p") - F.log10("low") - F.col("fail")).drop("fail")
     context = lambda df, f: df.join(f.withColumnRenamed("left", "key"), "key", "left").withColumn("fail", F.coalesce("fail", F.lit(0.0)))
     shaped = lambda df, kind, own, rest: df.select(F.lit(kind).alias("kind"), "key", "n", own.alias("own"), rest.alias("rest"))
     none = F.lit(0.0)
-    return (
-        shaped(context(words, fail1), 1, F.log10(F.col("n") + SMOOTH), F.col("fail"))
-        .unionByName(shaped(context(beyond(two, fail1), fail2), 2, none, F.col("arc") + F.col("fail")))
-        .unionByName(shaped(beyond(three, fail2), 3, none, F.col("arc")))
-    )
+    parts = [checkpointed(shaped(context(words, fail1), 1, F.log10(F.col("n") + SMOOTH), F.col("fail")))]
+    parts.append(checkpointed(shaped(context(beyond(two, fail1), fail2), 2, none, F.col("arc") + F.col("fail"))))
+    dropped(words, two, fail1)
+    parts.append(checkpointed(shaped(beyond(three, fail2), 3, none, F.col("arc"))))
+    dropped(three, fail2)
+    return parts
 
 
 def _packed(buckets: int):
@@ -466,13 +475,22 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row_key"), held_out(F.col("doc_id"), folds).alias("held_out"))
     train = texts.where(~F.col("held_out")).select("text")
     schema = "bucket int, kind int, blob binary"
-    counts = checkpointed(train.mapInArrow(_counts(buckets), schema).repartition("bucket").mapInArrow(_reduce, COUNTS))
+    slices = [train.mapInArrow(_counts(buckets, k, COUNT_SLICES), schema).repartition("bucket").mapInArrow(_reduce, COUNTS) for k in range(COUNT_SLICES)]
+    slices = [checkpointed(x) for x in slices]
+    counts = reduce(DataFrame.unionAll, slices)
     size = counts.where("kind = 1").agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     total, bottom = size["n"], float(np.log10(size["n"] + SMOOTH * (size["v"] + 1)))
-    weights = checkpointed(_weights(counts, max(2, int(total * ARC_SHARE)), bottom))
-    asked = texts.mapInArrow(_scorer(_frequent(weights, total), buckets), schema)
-    both = asked.unionByName(weights.select("key", "own", "rest").mapInArrow(_packed(buckets), schema))
-    sums = both.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_answerer(buckets), schema)
-    each = sums.repartition("bucket").mapInArrow(_total, TOTALS)
+    parts = _weights(slices, max(2, int(total * ARC_SHARE)), bottom)
+    weights = reduce(DataFrame.unionAll, parts)
+    frequent = _frequent(weights, total)
+    packed = checkpointed(weights.select("key", "own", "rest").mapInArrow(_packed(buckets), schema))
+    dropped(*parts)
+
+    def scored(k: int) -> DataFrame:
+        asked = texts.where(F.pmod("row_key", F.lit(SCORE_SLICES)) == k).mapInArrow(_scorer(frequent, buckets), schema)
+        sums = asked.unionByName(packed).repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_answerer(buckets), schema)
+        return checkpointed(sums.repartition("bucket").mapInArrow(_total, TOTALS))
+
+    each = reduce(DataFrame.unionAll, [scored(k) for k in range(SCORE_SLICES)])
     base = F.col("own") - F.col("n_tokens") * bottom
     return each.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("rest")).alias("score"))

@@ -101,3 +101,15 @@ def test_rare_repeated_n_grams_count(spark, monkeypatch, share):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_slices_of_the_n_grams_share_them_out(spark):
+    """Each slice sends a part of what is counted, and together they send all of it, once."""
+    text = " ".join(f"w{k % 37} x{k}" for k in range(3000))
+    batch = lm.pa.RecordBatch.from_pydict({"text": [text, text, None]})
+
+    def sent(*slices):
+        return Counter((kind, r) for out_ in lm._counts(8, *slices)([batch]) for kind, blob in zip(out_["kind"].to_pylist(), out_["blob"].to_pylist()) for r in np.frombuffer(blob, lm.GRAM).tolist())
+
+    whole, parts = sent(), [sent(k, 4) for k in range(4)]
+    assert sum(parts, Counter()) == whole and max(map(len, parts)) < 0.3 * len(whole)
