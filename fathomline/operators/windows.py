@@ -39,15 +39,19 @@ def corpus_rows(df: DataFrame, least_length: int = 1024, seq2seq: int = 64, leas
 
 
 def z_norm(a: Column, least_std: float = 1e-3) -> Column:
-    """An array scaled by its own mean and population deviation; a deviation below ``least_std`` counts as 1."""
+    """An array scaled by its own mean and population deviation; a deviation below ``least_std`` counts as 1. The mean is the
+    sum in order by the count, the deviation follows Welford's updates in order, as in DuckDB: the last bit decides at a threshold."""
     ok = F.filter(a, lambda x: x.isNotNull())
     n = F.size(ok)
     total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, x: s + x)
+    state = lambda n, mean, old, x, sq: F.struct(n.alias("n"), mean.alias("mean"), old.alias("old"), x.alias("x"), sq.alias("sq"))
+    zero = F.lit(0.0)
+    # a step holds the mean before and after it, as its square is added by the next one: each is computed once
+    added = lambda s: s["sq"] + (s["x"] - s["mean"]) * (s["x"] - s["old"])
+    last = F.aggregate(ok, state(zero, zero, zero, zero, zero), lambda s, x: state(s["n"] + 1, s["mean"] + (x - s["mean"]) / (s["n"] + 1), s["mean"], x, added(s)), added)
     # what a lambda refers to is evaluated for each element, so the statistics travel beside the elements
-    var = total(F.zip_with(ok, F.array_repeat(total(ok) / n, n), lambda x, m: (x - m) * (x - m))) / n
-    std = F.when(F.sqrt(var) < least_std, 1.0).otherwise(F.sqrt(var))
-    both = F.struct((total(ok) / n).alias("mean"), std.alias("std"))
-    return F.zip_with(a, F.array_repeat(both, F.size(a)), lambda x, c: (x - c["mean"]) / c["std"])
+    both = F.struct((total(ok) / n).alias("mean"), F.sqrt(last / n).alias("std"))
+    return F.zip_with(a, F.array_repeat(both, F.size(a)), lambda x, c: (x - c["mean"]) / F.when(c["std"] < least_std, 1.0).otherwise(c["std"]))
 
 
 def mask_anomalies(a: Column, threshold: float = 4.0) -> Column:

@@ -14,8 +14,10 @@ WINDOWS = ", w AS (SELECT series_id, t AS sample_id, list(value) OVER f AS v FRO
 
 
 def arrays(df, *names, digits=6):
-    """Arrays of doubles rounded; what rounds to zero keeps its sign, as in SQL, where the text of an array shows it."""
-    return df.select(*(F.transform(c, lambda x: F.round(F.abs(x), digits) * F.signum(x)).alias(c) if c in names else F.col(c) for c in df.columns))
+    """Arrays of doubles rounded as in DuckDB: the product with a power of ten, half away from zero, in doubles and not by
+    decimal digits; what rounds to zero keeps its sign, as the text of an array shows it."""
+    unit = float(10**digits)
+    return df.select(*(F.transform(c, lambda x: F.round(F.abs(x) * unit) / unit * F.signum(x)).alias(c) if c in names else F.col(c) for c in df.columns))
 
 
 def split(spark, sf, full=True):
