@@ -4,7 +4,8 @@ Words, bigrams and trigrams are counted over every training token and stay distr
 arcs. Each state (a word or bigram with arcs) holds the discounted probabilities of its arcs and a failure arc whose
 weight hands the mass left to the shorter context, so every state's probabilities sum to one. An n-gram's weight is what
 its arc adds to the path by the failure arc, and its own failure weight as a context: a text's score is then the sum
-of the weights of all its words, bigrams and trigrams, whatever their order. Weights are requested by hash in the
+of the weights of all its words, bigrams and trigrams, whatever their order. An n-gram goes, packed, to the word or
+bigram at its end and then to its context, where it is weighed beside the other arcs. Weights are requested by hash in the
 partition that holds them, and only sums return to the documents; the most frequent ones, of a fixed share of the corpus
 and so of bounded number, are known to every task and are not requested. That changes the traffic, never a score.
 """
@@ -32,10 +33,17 @@ SMOOTH = 0.1
 END = mix(np.array([0x5E0D], np.uint64))[0]
 FLUSH = 1_000_000
 #: Slices of the n-grams, counted one after the other, and of the documents, scored so: only one slice's traffic lies on disk.
-COUNT_SLICES, SCORE_SLICES = 4, 4
+COUNT_SLICES, SCORE_SLICES = 4, 6
+#: Slices of the contexts whose arcs are weighed one after the other.
+ARC_SLICES = 2
 COUNTED = np.dtype([("key", "<u8"), ("n", "<u4")])
 GRAM = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<u4")])
+TALLY = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<i8")])
+LOW = np.dtype([("key", "<u8"), ("p", "<f8")])
+STATE = np.dtype([("key", "<u8"), ("n", "<i8"), ("p", "<f8"), ("arc", "<f8")])
+ARC = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<i8"), ("low", "<f8")])
 WEIGHT = np.dtype([("key", "<u8"), ("own", "<f8"), ("rest", "<f8")])
+REST = np.dtype([("key", "<u8"), ("rest", "<f8")])
 ASKED = np.dtype([("key", "<u8"), ("row", "<i8"), ("n", "<u4")])
 DOCUMENT = np.dtype([("row", "<i8"), ("doc_id", "<i8"), ("no_id", "?"), ("out", "?"), ("tokens", "<i8"), ("known", "<i8"), ("own", "<f8"), ("rest", "<f8")])
 
@@ -93,15 +101,19 @@ def _grams(stream: np.ndarray, first: np.ndarray) -> list[tuple[np.ndarray, np.n
     return [(np.arange(len(one)), one), (at2, two[at2]), (at3, _joined(two[at3 - 1], two[at3]))]
 
 
-def _ends(stream: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """GRAM records, not yet added up, of the words (in ``left``), bigrams and trigrams."""
-    (_, one), (at2, key2), (at3, _) = _grams(stream, first)
+def _ends(stream: np.ndarray, first: np.ndarray, slice_: int, slices: int) -> list[np.ndarray]:
+    """GRAM records, not yet added up, of the words (in ``left``), bigrams and trigrams whose keys are in the slice."""
+    grams = _grams(stream, first)
+    one, (at2, key2) = grams[0][1], grams[1]
     two = np.zeros(len(one), np.uint64)
     two[at2] = key2
     out = []
-    for left, right in ((one, np.zeros(len(one), np.uint64)), (one[at2 - 1], one[at2]), (two[at3 - 1], two[at3])):
-        record = np.empty(len(left), GRAM)
-        record["left"], record["right"], record["n"] = left, right, 1
+    for order, (at, key) in enumerate(grams, 1):
+        if slices > 1:
+            at = at[(key >> np.uint64(8)) % np.uint64(slices) == slice_]
+        record = np.empty(len(at), GRAM)
+        ends = two if order == 3 else one
+        record["left"], record["right"], record["n"] = (one[at], 0, 1) if order == 1 else (ends[at - 1], ends[at], 1)
         out.append(record)
     return out
 
@@ -149,12 +161,9 @@ def _counts(buckets: int, slice_: int = 0, slices: int = 1):
     def count(batches):
         held, size = {1: [], 2: [], 3: []}, {1: 0, 2: 0, 3: 0}
         for batch in chunks(batches):
-            for order, record in enumerate(_ends(*_stream(column(batch, "text"))), 1):
-                if slices > 1:
-                    record = record[(_keys(record, order) >> np.uint64(8)) % np.uint64(slices) == slice_]
-                part = _sum([record], order)[1]
-                held[order].append(part)
-                size[order] += len(part)
+            for order, record in enumerate(_ends(*_stream(column(batch, "text")), slice_, slices), 1):
+                held[order].append(record)
+                size[order] += len(record)
                 if size[order] >= FLUSH:
                     key, part = _sum(held[order], order)
                     held[order], size[order] = [part], len(part)
@@ -168,68 +177,186 @@ def _counts(buckets: int, slice_: int = 0, slices: int = 1):
     return count
 
 
-COUNTS = "kind int, key long, left long, right long, n long"
+def _blobs(batches, kinds: dict[int, np.dtype]):
+    """Bucket, kind and records of each row."""
+    for batch in batches:
+        for bucket, kind, blob in zip(column(batch, "bucket").to_pylist(), column(batch, "kind").to_pylist(), column(batch, "blob"), strict=True):
+            yield bucket, kind, np.frombuffer(blob.as_buffer(), kinds[kind])
+
+
+def _by_bucket(batches, kinds: dict[int, np.dtype]):
+    """Bucket and, by kind, the records of each bucket of a partition."""
+    parts: dict[int, dict[int, list[np.ndarray]]] = {}
+    for bucket, kind, record in _blobs(batches, kinds):
+        parts.setdefault(bucket, {}).setdefault(kind, []).append(record)
+    for bucket in list(parts):
+        held = parts.pop(bucket)
+        yield bucket, {kind: np.concatenate(held[kind]) if kind in held else np.zeros(0, dtype) for kind, dtype in kinds.items()}
+
+
+def _sent(source, buckets: int):
+    """What the source yields as kind, keys and records, dealt by key, many records at a time."""
+    held: dict[int, list] = {}
+    size = 0
+
+    def out():
+        for kind, parts in held.items():
+            yield _dealt(np.concatenate([k for k, _ in parts]), np.concatenate([r for _, r in parts]), kind, buckets)
+        held.clear()
+
+    for kind, key, record in source:
+        if len(record):
+            held.setdefault(kind, []).append((key, record))
+            size += len(record)
+            if size >= FLUSH:
+                yield from out()
+                size = 0
+    yield from out()
+
+
+def _records(dtype: np.dtype, **columns: np.ndarray) -> np.ndarray:
+    out = np.empty(len(columns["key"] if "key" in columns else columns["left"]), dtype)
+    for name, values in columns.items():
+        out[name] = values
+    return out
 
 
 def _reduce(batches):
-    """Counts of the words and of the n-grams that occur twice."""
-    parts: dict[tuple[int, int], list[np.ndarray]] = {}
-    for batch in batches:
-        for bucket, kind, blob in zip(column(batch, "bucket").to_pylist(), column(batch, "kind").to_pylist(), column(batch, "blob"), strict=True):
-            parts.setdefault((bucket, kind), []).append(np.frombuffer(blob.as_buffer(), GRAM))
-    for (_, kind), held in parts.items():
-        key, total, n = _totals(held, kind)
-        keep = n >= (1 if kind == 1 else 2)
-        key, total, n = key[keep], total[keep], n[keep]
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (key, total["left"], total["right"])), pa.array(n)], names=["kind", "key", "left", "right", "n"])
+    """TALLY records of the words (kind 1) and of the n-grams that occur twice (kinds 2 and 3), and how many words and tokens
+    there are (kind 0)."""
+    size = np.zeros(2, np.int64)
+    for bucket, held in _by_bucket(batches, {1: GRAM, 2: GRAM, 3: GRAM}):
+        for order, record in held.items():
+            if len(record):
+                _, total, n = _totals([record], order)
+                keep = n >= (1 if order == 1 else 2)
+                if order == 1:
+                    size += len(n), n.sum()
+                yield _rows([bucket], order, [_records(TALLY, left=total["left"][keep], right=total["right"][keep], n=n[keep]).tobytes()])
+    yield _rows([0], 0, [size.tobytes()])
 
 
-def _weights(slices: list[DataFrame], least: int, bottom: float) -> list[DataFrame]:
-    """kind, key, n, own, rest: log10(c + 0.1) of words, and what each word, bigram and trigram adds to the score besides.
-    The counts, and what is made of them, are dropped when they have been used."""
-    counts = reduce(DataFrame.unionAll, slices)
-    grams = lambda kind: counts.where(f"kind = {kind}" + (f" AND n >= {least}" if kind > 1 else ""))
-    ended = lambda df, ends, low: (
-        df.join(ends.select(F.col("key").alias("left"), F.col("n").alias("n_left")), "left")
-        .join(ends.select(F.col("key").alias("right"), low.alias("low")), "right")
-        .select("key", "left", "n", ((F.col("n") - DISCOUNT) / F.col("n_left")).alias("p"), "low")
-    )
-    fail = lambda df: df.groupBy("left").agg(F.log10((1 - F.sum("p")) / (1 - F.sum("low"))).alias("fail"))
-    words = checkpointed(grams(1).select("key", "n"))
-    two = checkpointed(ended(grams(2), words, (F.col("n") + SMOOTH) / 10**bottom))
-    three = checkpointed(ended(grams(3), two, F.col("p")))
-    dropped(*slices)
-    fail1, fail2 = checkpointed(fail(two)), checkpointed(fail(three))
-    beyond = lambda df, f: df.join(f, "left").withColumn("arc", F.log10("p") - F.log10("low") - F.col("fail")).drop("fail")
-    context = lambda df, f: df.join(f.withColumnRenamed("left", "key"), "key", "left").withColumn("fail", F.coalesce("fail", F.lit(0.0)))
-    shaped = lambda df, kind, own, rest: df.select(F.lit(kind).alias("kind"), "key", "n", own.alias("own"), rest.alias("rest"))
-    none = F.lit(0.0)
-    parts = [checkpointed(shaped(context(words, fail1), 1, F.log10(F.col("n") + SMOOTH), F.col("fail")))]
-    parts.append(checkpointed(shaped(context(beyond(two, fail1), fail2), 2, none, F.col("arc") + F.col("fail"))))
-    dropped(words, two, fail1)
-    parts.append(checkpointed(shaped(beyond(three, fail2), 3, none, F.col("arc"))))
-    dropped(three, fail2)
-    return parts
-
-
-def _packed(buckets: int):
-    def pack(batches):
-        for batch in batches:
-            if batch.num_rows:
-                record = np.empty(batch.num_rows, WEIGHT)
-                record["key"] = column(batch, "key").to_numpy(zero_copy_only=False).view(np.uint64)
-                for name in ("own", "rest"):
-                    record[name] = column(batch, name).to_numpy(zero_copy_only=False)
-                yield _dealt(record["key"].copy(), record, 0, buckets)
+def _words(bottom: float):
+    """STATE records of the words."""
+
+    def words(batches):
+        for bucket, _, total in _blobs(batches, {1: TALLY}):
+            yield _rows([bucket], 0, [_records(STATE, key=total["left"], n=total["n"], p=(total["n"] + SMOOTH) / 10**bottom, arc=0.0).tobytes()])
+
+    return words
+
+
+def _in_slice(context: np.ndarray, slice_: int) -> np.ndarray:
+    return (context >> np.uint64(24)) % np.uint64(ARC_SLICES) == slice_
+
+
+def _lows(buckets: int):
+    return lambda batches: _sent(((0, s["key"].copy(), _records(LOW, key=s["key"], p=s["p"])) for _, _, s in _blobs(batches, {0: STATE, 3: STATE})), buckets)
 
-    return pack
 
+def _contexts(slice_: int, buckets: int):
+    def send(batches):
+        mine = (s[_in_slice(s["key"], slice_)] for _, _, s in _blobs(batches, {0: STATE, 3: STATE}))
+        return _sent(((0, s["key"].copy(), s) for s in mine), buckets)
 
-def _frequent(weights: DataFrame, total: int) -> tuple[Lookup, np.ndarray, np.ndarray]:
-    """Weights of the words and n-grams of the shares above; their number is bounded by the inverse of the shares."""
-    table = weights.where(F.col("n") >= F.when(F.col("kind") == 1, max(2, total * WORD_SHARE)).otherwise(max(2, total * GRAM_SHARE))).select("key", "own", "rest").toArrow()
-    key, own, rest = (table.column(c).to_numpy() for c in ("key", "own", "rest"))
-    return Lookup(np.ascontiguousarray(key).view(np.uint64)), own, rest
+    return send
+
+
+def _by_right(order: int, least: int, slice_: int, buckets: int):
+    def send(batches):
+        mine = (t[(t["n"] >= least) & _in_slice(t["left"], slice_)] for _, _, t in _blobs(batches, {order: TALLY}))
+        return _sent(((1, t["right"].copy(), t) for t in mine), buckets)
+
+    return send
+
+
+def _found(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What is asked and there, and its places in ascending keys. Missing are only n-grams of two that share their key."""
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    k = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    there = np.flatnonzero(keys[k] == asked)
+    return there, k[there]
+
+
+def _with_low(buckets: int):
+    """Each n-gram learns the probability of its last word after the shorter context, and goes to its own context."""
+
+    def source(batches):
+        for _, held in _by_bucket(batches, {0: LOW, 1: TALLY}):
+            low, t = held[0], held[1]
+            low = low[np.argsort(low["key"])]
+            there, k = _found(low["key"], t["right"])
+            t = t[there]
+            yield 1, t["left"].copy(), _records(ARC, left=t["left"], right=t["right"], n=t["n"], low=low["p"][k])
+
+    return lambda batches: _sent(source(batches), buckets)
+
+
+def _arcs(order: int, words_from: float, grams_from: float, buckets: int):
+    """Contexts and their arcs: final weights of the contexts and, of trigrams, of the arcs (kind 0 of words, -1 of n-grams),
+    those of the most frequent (kind 4), and STATE records of bigrams (kind 3)."""
+
+    def weights(of: int, key: np.ndarray, n: np.ndarray, rest: np.ndarray):
+        own = np.log10(n + SMOOTH) if of == 1 else np.zeros(len(n))
+        yield (0, key, _records(WEIGHT, key=key, own=own, rest=rest)) if of == 1 else (-1, key, _records(REST, key=key, rest=rest))
+        top = n >= (words_from if of == 1 else grams_from)
+        yield 4, key[top], _records(WEIGHT, key=key[top], own=own[top], rest=rest[top])
+
+    def source(batches):
+        for _, held in _by_bucket(batches, {0: STATE, 1: ARC}):
+            state, arc = held[0], held[1]
+            state, arc = state[np.argsort(state["key"])], arc[np.argsort(arc["left"])]
+            there, k = _found(state["key"], arc["left"])
+            arc = arc[there]
+            p = (arc["n"] - DISCOUNT) / state["n"][k]
+            fail = np.zeros(len(state))
+            if len(arc):
+                at = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+                fail[k[at]] = np.log10((1 - np.add.reduceat(p, at)) / (1 - np.add.reduceat(arc["low"], at)))
+            yield from weights(order - 1, state["key"].copy(), state["n"], state["arc"] + fail)
+            key, adds = _joined(arc["left"], arc["right"]), np.log10(p) - np.log10(arc["low"]) - fail[k]
+            if order == 2:
+                yield 3, key, _records(STATE, key=key, n=arc["n"], p=p, arc=adds)
+            else:
+                yield from weights(3, key, arc["n"], adds)
+
+    return lambda batches: _sent(source(batches), buckets)
+
+
+BLOBS = "bucket int, kind int, blob binary"
+
+
+def _weighed(counts: DataFrame, states: DataFrame, order: int, least: int, total: int, buckets: int) -> list[DataFrame]:
+    """The output of ``_arcs`` for the n-grams of an order and the states that they follow."""
+    grams = counts.where(f"kind = {order}")
+    tops = max(2, total * WORD_SHARE), max(2, total * GRAM_SHARE)
+
+    def weighed(k: int) -> DataFrame:
+        asked = states.mapInArrow(_lows(buckets), BLOBS).unionByName(grams.mapInArrow(_by_right(order, least, k, buckets), BLOBS))
+        arcs = asked.repartition("bucket").mapInArrow(_with_low(buckets), BLOBS)
+        here = states.mapInArrow(_contexts(k, buckets), BLOBS).unionByName(arcs)
+        return checkpointed(here.repartition("bucket").mapInArrow(_arcs(order, *tops, buckets), BLOBS))
+
+    return [weighed(k) for k in range(ARC_SLICES)]
+
+
+def _weights(slices: list[DataFrame], least: int, bottom: float, total: int, buckets: int) -> tuple[DataFrame, tuple[Lookup, np.ndarray, np.ndarray]]:
+    """What each word (besides log10(c + 0.1)), bigram and trigram adds to the score, dealt by key, and the most frequent ones.
+    The counts, and what is made of them, are dropped when they have been used."""
+    tasks = buckets // 4
+    counts = reduce(DataFrame.unionAll, slices).coalesce(tasks)
+    low = _weighed(counts, counts.where("kind = 1").mapInArrow(_words(bottom), BLOBS), 2, least, total, buckets)
+    lower = reduce(DataFrame.unionAll, low).coalesce(tasks)
+    high = _weighed(counts, lower.where("kind = 3"), 3, least, total, buckets)
+    dropped(*slices)
+    both = reduce(DataFrame.unionAll, [lower, *high])
+    top = [np.frombuffer(x.as_buffer(), WEIGHT) for x in both.where("kind = 4").select("blob").toArrow()["blob"]]
+    top = np.concatenate(top) if top else np.zeros(0, WEIGHT)
+    words = checkpointed(lower.where("kind = 0"))
+    dropped(*low)
+    frequent = Lookup(top["key"].copy()), top["own"].copy(), top["rest"].copy()
+    return reduce(DataFrame.unionAll, [words, *high]).where("kind <= 0"), frequent
 
 
 def _before(w: np.ndarray, first: np.ndarray, step: int) -> np.ndarray:
@@ -390,6 +517,9 @@ def _answerer(buckets: int):
                     here, loose, known = bucket, [], np.zeros(0, WEIGHT)
                 if kind == 0:
                     loose.append(np.frombuffer(blob.as_buffer(), WEIGHT))
+                elif kind == -1:
+                    rest = np.frombuffer(blob.as_buffer(), REST)
+                    loose.append(_records(WEIGHT, key=rest["key"], own=0.0, rest=rest["rest"]))
                 elif kind == 1:
                     if loose:
                         known, loose = np.concatenate(loose), []
@@ -474,21 +604,15 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row_key"), held_out(F.col("doc_id"), folds).alias("held_out"))
     train = texts.where(~F.col("held_out")).select("text")
-    schema = "bucket int, kind int, blob binary"
-    slices = [train.mapInArrow(_counts(buckets, k, COUNT_SLICES), schema).repartition("bucket").mapInArrow(_reduce, COUNTS) for k in range(COUNT_SLICES)]
-    slices = [checkpointed(x) for x in slices]
-    counts = reduce(DataFrame.unionAll, slices)
-    size = counts.where("kind = 1").agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    total, bottom = size["n"], float(np.log10(size["n"] + SMOOTH * (size["v"] + 1)))
-    parts = _weights(slices, max(2, int(total * ARC_SHARE)), bottom)
-    weights = reduce(DataFrame.unionAll, parts)
-    frequent = _frequent(weights, total)
-    packed = checkpointed(weights.select("key", "own", "rest").mapInArrow(_packed(buckets), schema))
-    dropped(*parts)
+    slices = [checkpointed(train.mapInArrow(_counts(buckets, k, COUNT_SLICES), BLOBS).repartition("bucket").mapInArrow(_reduce, BLOBS)) for k in range(COUNT_SLICES)]
+    sizes = reduce(DataFrame.unionAll, slices).where("kind = 0").select("blob").toArrow()["blob"].to_pylist()
+    distinct, total = (int(x) for x in sum((np.frombuffer(x, np.int64) for x in sizes), np.zeros(2, np.int64)))
+    bottom = float(np.log10(total + SMOOTH * (distinct + 1)))
+    packed, frequent = _weights(slices, max(2, int(total * ARC_SHARE)), bottom, total, buckets)
 
     def scored(k: int) -> DataFrame:
-        asked = texts.where(F.pmod("row_key", F.lit(SCORE_SLICES)) == k).mapInArrow(_scorer(frequent, buckets), schema)
-        sums = asked.unionByName(packed).repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_answerer(buckets), schema)
+        asked = texts.where(F.pmod("row_key", F.lit(SCORE_SLICES)) == k).mapInArrow(_scorer(frequent, buckets), BLOBS)
+        sums = asked.unionByName(packed).repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_answerer(buckets), BLOBS)
         return checkpointed(sums.repartition("bucket").mapInArrow(_total, TOTALS))
 
     each = reduce(DataFrame.unionAll, [scored(k) for k in range(SCORE_SLICES)])

@@ -2,6 +2,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -113,3 +114,35 @@ def test_slices_of_the_n_grams_share_them_out(spark):
 
     whole, parts = sent(), [sent(k, 4) for k in range(4)]
     assert sum(parts, Counter()) == whole and max(map(len, parts)) < 0.3 * len(whole)
+
+
+def test_tables_of_n_grams_are_packed(spark, monkeypatch):
+    """What lies on disk between the stages, in bytes of each n-gram that is kept; the score is that of all of them."""
+    held = []
+
+    def weighed(df):
+        df = checkpointed(df)
+        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get().removeprefix("file:")
+        held.append(sum(f.stat().st_size for f in Path(file).rglob("part-*")))
+        return df
+
+    checkpointed = lm.checkpointed
+    monkeypatch.setattr(lm, "checkpointed", weighed)
+    r = random.Random(7)
+    words = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(r.choices(words, k=400)) for _ in range(60)]
+    rows = [(k, texts[k % 60]) for k in range(600) if not out(k)]
+    run(spark, rows)
+    train = [tokens(t) for _, t in rows]
+    grams = len({g for t in train for n in (1, 2, 3) for g in zip(*(t[k:] for k in range(n)))})
+    assert sum(held[: lm.COUNT_SLICES]) < 22 * grams
+
+
+def test_an_n_gram_without_its_end_is_left_out():
+    """Two n-grams that share a key may count as one seen twice, though the shorter ones were seen once."""
+    low = np.array([(5, 0.5)], lm.LOW)
+    tally = np.array([(9, 5, 2), (9, 7, 2)], lm.TALLY)
+    batch = lm.pa.RecordBatch.from_pydict({"bucket": [0, 0], "kind": [0, 1], "blob": [low.tobytes(), tally.tobytes()]})
+    sent = [r for b in lm._with_low(4)([batch]) for blob in b["blob"].to_pylist() for r in np.frombuffer(blob, lm.ARC).tolist()]
+    assert sent == [(9, 5, 2, 0.5)]
+    assert list(lm._with_low(4)([batch.slice(1)])) == []
