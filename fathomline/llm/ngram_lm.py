@@ -32,10 +32,14 @@ DISCOUNT = 0.5
 SMOOTH = 0.1
 END = mix(np.array([0x5E0D], np.uint64))[0]
 FLUSH = 1_000_000
+#: Bytes of text at a time: what is made of them stays in a core's cache.
+TEXT_BYTES = 250_000
 #: Slices of the n-grams, counted one after the other, and of the documents, scored so: only one slice's traffic lies on disk.
-COUNT_SLICES, SCORE_SLICES = 4, 6
+COUNT_SLICES, SCORE_SLICES = 3, 5
 #: Slices of the contexts whose arcs are weighed one after the other.
 ARC_SLICES = 2
+#: N-grams that one task deals at least: with fewer, what it deals to each bucket would be a few.
+TASK_GRAMS = 250_000
 COUNTED = np.dtype([("key", "<u8"), ("n", "<u4")])
 GRAM = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<u4")])
 TALLY = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<i8")])
@@ -70,7 +74,8 @@ class Lookup:
         slot = self._slot(keys)
         at = self.table[slot]
         at = np.where((at >= 0) & (self.keys[at] == keys), at, -1)
-        hard = np.flatnonzero((at < 0) & self.shared[slot])
+        hard = np.flatnonzero(at < 0)
+        hard = hard[self.shared[slot[hard]]]
         if len(hard):
             k = np.minimum(np.searchsorted(self.sorted, keys[hard]), len(self.sorted) - 1)
             at[hard] = np.where(self.sorted[k] == keys[hard], self.order[k], -1)
@@ -118,20 +123,29 @@ def _ends(stream: np.ndarray, first: np.ndarray, slice_: int, slices: int) -> li
     return out
 
 
+def _cat(parts: list[np.ndarray]) -> np.ndarray:
+    """Records joined as bytes: numpy copies records field by field."""
+    return np.concatenate([x.view(f"V{x.dtype.itemsize}") for x in parts]).view(parts[0].dtype)
+
+
+def _take(record: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return record.view(f"V{record.dtype.itemsize}")[at].view(record.dtype)
+
+
 def _keys(record: np.ndarray, order: int) -> np.ndarray:
     return record["left"].copy() if order == 1 else _joined(record["left"], record["right"])
 
 
 def _totals(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys, ascending, the first GRAM record of each and its count over all parts, in 64 bits."""
-    all_ = np.concatenate(parts) if parts else np.zeros(0, GRAM)
+    all_ = _cat(parts) if parts else np.zeros(0, GRAM)
     key = _keys(all_, order)
     by = np.argsort(key)
-    key, all_ = key[by], all_[by]
+    key = key[by]
     if not len(all_):
         return key, all_, np.zeros(0, np.int64)
     at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    return key[at], all_[at], np.add.reduceat(all_["n"].astype(np.int64), at)
+    return key[at], _take(all_, by[at]), np.add.reduceat(all_["n"][by].astype(np.int64), at)
 
 
 def _sum(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,9 +156,10 @@ def _sum(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _dealt(key: np.ndarray, record: np.ndarray, kind: int, buckets: int) -> pa.RecordBatch:
-    bucket = (key >> np.uint64(48)) % np.uint64(buckets)
-    by = np.argsort(bucket, kind="stable")
-    record, bucket = record[by], bucket[by]
+    bucket = ((key >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)  # ascending with the keys
+    if (bucket[1:] < bucket[:-1]).any():
+        by = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+        record, bucket = _take(record, by), bucket[by]
     cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
     used = np.flatnonzero(np.diff(cuts))
     blobs = [record[cuts[b] : cuts[b + 1]].tobytes() for b in used.tolist()]
@@ -160,7 +175,7 @@ def _counts(buckets: int, slice_: int = 0, slices: int = 1):
 
     def count(batches):
         held, size = {1: [], 2: [], 3: []}, {1: 0, 2: 0, 3: 0}
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=TEXT_BYTES):
             for order, record in enumerate(_ends(*_stream(column(batch, "text")), slice_, slices), 1):
                 held[order].append(record)
                 size[order] += len(record)
@@ -191,7 +206,7 @@ def _by_bucket(batches, kinds: dict[int, np.dtype]):
         parts.setdefault(bucket, {}).setdefault(kind, []).append(record)
     for bucket in list(parts):
         held = parts.pop(bucket)
-        yield bucket, {kind: np.concatenate(held[kind]) if kind in held else np.zeros(0, dtype) for kind, dtype in kinds.items()}
+        yield bucket, {kind: _cat(held[kind]) if kind in held else np.zeros(0, dtype) for kind, dtype in kinds.items()}
 
 
 def _sent(source, buckets: int):
@@ -201,7 +216,7 @@ def _sent(source, buckets: int):
 
     def out():
         for kind, parts in held.items():
-            yield _dealt(np.concatenate([k for k, _ in parts]), np.concatenate([r for _, r in parts]), kind, buckets)
+            yield _dealt(np.concatenate([k for k, _ in parts]), _cat([r for _, r in parts]), kind, buckets)
         held.clear()
 
     for kind, key, record in source:
@@ -222,16 +237,15 @@ def _records(dtype: np.dtype, **columns: np.ndarray) -> np.ndarray:
 
 
 def _reduce(batches):
-    """TALLY records of the words (kind 1) and of the n-grams that occur twice (kinds 2 and 3), and how many words and tokens
-    there are (kind 0)."""
-    size = np.zeros(2, np.int64)
+    """TALLY records of the words (kind 1) and of the n-grams that occur twice (kinds 2 and 3), and how many words, tokens
+    and records there are (kind 0)."""
+    size = np.zeros(3, np.int64)
     for bucket, held in _by_bucket(batches, {1: GRAM, 2: GRAM, 3: GRAM}):
         for order, record in held.items():
             if len(record):
                 _, total, n = _totals([record], order)
                 keep = n >= (1 if order == 1 else 2)
-                if order == 1:
-                    size += len(n), n.sum()
+                size += (len(n), n.sum(), len(n)) if order == 1 else (0, 0, keep.sum())
                 yield _rows([bucket], order, [_records(TALLY, left=total["left"][keep], right=total["right"][keep], n=n[keep]).tobytes()])
     yield _rows([0], 0, [size.tobytes()])
 
@@ -285,9 +299,9 @@ def _with_low(buckets: int):
     def source(batches):
         for _, held in _by_bucket(batches, {0: LOW, 1: TALLY}):
             low, t = held[0], held[1]
-            low = low[np.argsort(low["key"])]
+            low = _take(low, np.argsort(low["key"]))
             there, k = _found(low["key"], t["right"])
-            t = t[there]
+            t = _take(t, there)
             yield 1, t["left"].copy(), _records(ARC, left=t["left"], right=t["right"], n=t["n"], low=low["p"][k])
 
     return lambda batches: _sent(source(batches), buckets)
@@ -306,9 +320,9 @@ def _arcs(order: int, words_from: float, grams_from: float, buckets: int):
     def source(batches):
         for _, held in _by_bucket(batches, {0: STATE, 1: ARC}):
             state, arc = held[0], held[1]
-            state, arc = state[np.argsort(state["key"])], arc[np.argsort(arc["left"])]
+            state, arc = _take(state, np.argsort(state["key"])), _take(arc, np.argsort(arc["left"]))
             there, k = _found(state["key"], arc["left"])
-            arc = arc[there]
+            arc = _take(arc, there)
             p = (arc["n"] - DISCOUNT) / state["n"][k]
             fail = np.zeros(len(state))
             if len(arc):
@@ -327,28 +341,28 @@ def _arcs(order: int, words_from: float, grams_from: float, buckets: int):
 BLOBS = "bucket int, kind int, blob binary"
 
 
-def _weighed(counts: DataFrame, states: DataFrame, order: int, least: int, total: int, buckets: int) -> list[DataFrame]:
+def _weighed(counts: DataFrame, states: DataFrame, order: int, least: int, total: int, buckets: int, tasks: int) -> list[DataFrame]:
     """The output of ``_arcs`` for the n-grams of an order and the states that they follow."""
     grams = counts.where(f"kind = {order}")
     tops = max(2, total * WORD_SHARE), max(2, total * GRAM_SHARE)
 
     def weighed(k: int) -> DataFrame:
         asked = states.mapInArrow(_lows(buckets), BLOBS).unionByName(grams.mapInArrow(_by_right(order, least, k, buckets), BLOBS))
-        arcs = asked.repartition("bucket").mapInArrow(_with_low(buckets), BLOBS)
+        arcs = asked.repartition("bucket").coalesce(tasks).mapInArrow(_with_low(buckets), BLOBS)
         here = states.mapInArrow(_contexts(k, buckets), BLOBS).unionByName(arcs)
-        return checkpointed(here.repartition("bucket").mapInArrow(_arcs(order, *tops, buckets), BLOBS))
+        return checkpointed(here.repartition("bucket").coalesce(tasks).mapInArrow(_arcs(order, *tops, buckets), BLOBS))
 
     return [weighed(k) for k in range(ARC_SLICES)]
 
 
-def _weights(slices: list[DataFrame], least: int, bottom: float, total: int, buckets: int) -> tuple[DataFrame, tuple[Lookup, np.ndarray, np.ndarray]]:
+def _weights(slices: list[DataFrame], least: int, bottom: float, total: int, grams: int, buckets: int) -> tuple[DataFrame, tuple[Lookup, np.ndarray, np.ndarray]]:
     """What each word (besides log10(c + 0.1)), bigram and trigram adds to the score, dealt by key, and the most frequent ones.
     The counts, and what is made of them, are dropped when they have been used."""
-    tasks = buckets // 4
+    tasks = max(1, min(buckets // 4, grams // TASK_GRAMS))
     counts = reduce(DataFrame.unionAll, slices).coalesce(tasks)
-    low = _weighed(counts, counts.where("kind = 1").mapInArrow(_words(bottom), BLOBS), 2, least, total, buckets)
+    low = _weighed(counts, counts.where("kind = 1").mapInArrow(_words(bottom), BLOBS), 2, least, total, buckets, tasks)
     lower = reduce(DataFrame.unionAll, low).coalesce(tasks)
-    high = _weighed(counts, lower.where("kind = 3"), 3, least, total, buckets)
+    high = _weighed(counts, lower.where("kind = 3"), 3, least, total, buckets, tasks)
     dropped(*slices)
     both = reduce(DataFrame.unionAll, [lower, *high])
     top = [np.frombuffer(x.as_buffer(), WEIGHT) for x in both.where("kind = 4").select("blob").toArrow()["blob"]]
@@ -456,13 +470,23 @@ def build(words: np.ndarray, n2: int, n3: int, grams: np.ndarray, bottom: float)
 UNKNOWN = float(np.log10(SMOOTH))
 
 
+def _asked(held: list[tuple[np.ndarray, np.ndarray]], buckets: int) -> pa.RecordBatch:
+    """Requests, ascending by key, as they are looked up the faster; neighbours of the same row are one."""
+    key, row = (np.concatenate(x) for x in zip(*held, strict=True))
+    by = np.argsort(key)
+    key, row = key[by], row[by]
+    at = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])])
+    record = _records(ASKED, key=key[at], row=row[at], n=np.diff(np.append(at, len(key))))
+    return _dealt(key[at], record, 1, buckets)
+
+
 def _scorer(frequent: tuple[Lookup, np.ndarray, np.ndarray], buckets: int):
     """Sums of each document over the frequent weights, all other words as unknown, and requests for what is not frequent."""
     lookup, own, rest = frequent
 
     def score(batches):
         held, size = [], 0
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=TEXT_BYTES):
             stream, first = _stream(column(batch, "text"))
             row = column(batch, "row_key").to_numpy(zero_copy_only=False).astype(np.int64)
             doc_id = column(batch, "doc_id")
@@ -479,23 +503,14 @@ def _scorer(frequent: tuple[Lookup, np.ndarray, np.ndarray], buckets: int):
                 if order == 1:
                     record["known"] = np.bincount(doc[here], minlength=batch.num_rows)
                     record["own"] = np.bincount(doc[here], own[k[here]], batch.num_rows) + UNKNOWN * np.bincount(doc[far], minlength=batch.num_rows)
-                key, doc = key[far], doc[far]
-                by = np.argsort(key + mix(doc.astype(np.uint64)))
-                key, doc = key[by], doc[by]
-                if len(key):
-                    at = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])
-                    asked = np.empty(len(at), ASKED)
-                    asked["key"], asked["row"], asked["n"] = key[at], row[doc[at]], np.diff(np.append(at, len(key)))
-                    held.append(asked)
-                    size += len(asked)
+                held.append((key[far], row[doc[far]]))
+                size += len(far)
             yield _rows([int(row[0] % buckets)], 2, [record.tobytes()])
             if size >= FLUSH:
-                asked = np.concatenate(held)
-                yield _dealt(asked["key"].copy(), asked, 1, buckets)
+                yield _asked(held, buckets)
                 held, size = [], 0
         if size:
-            asked = np.concatenate(held)
-            yield _dealt(asked["key"].copy(), asked, 1, buckets)
+            yield _asked(held, buckets)
 
     return score
 
@@ -522,13 +537,13 @@ def _answerer(buckets: int):
                     loose.append(_records(WEIGHT, key=rest["key"], own=0.0, rest=rest["rest"]))
                 elif kind == 1:
                     if loose:
-                        known, loose = np.concatenate(loose), []
-                        known = known[np.argsort(known["key"])]
+                        known, loose = _cat(loose), []
+                        known = _take(known, np.argsort(known["key"]))
+                        keys = known["key"].copy()
                     if len(known):
                         asked = np.frombuffer(blob.as_buffer(), ASKED)
-                        k = np.minimum(np.searchsorted(known["key"], asked["key"]), len(known) - 1)
-                        found = np.flatnonzero(known["key"][k] == asked["key"])
-                        asked, k = asked[found], k[found]
+                        found, k = _found(keys, asked["key"].copy())
+                        asked = _take(asked, found)
                         word = (asked["key"] & np.uint64(1)).astype(np.int64)
                         part = np.empty(len(asked), PART)
                         part["row"], part["hits"] = asked["row"], asked["n"] * word
@@ -536,7 +551,7 @@ def _answerer(buckets: int):
                         parts.append(part)
                         size += len(part)
                         if size >= FLUSH:
-                            parts = [_summed(np.concatenate(parts))]
+                            parts = [_summed(_cat(parts))]
                             size = len(parts[0])
                             if size >= FLUSH // 2:
                                 yield from _by_document(parts[0], 0, buckets)
@@ -544,14 +559,14 @@ def _answerer(buckets: int):
                 else:
                     yield from _by_document(np.frombuffer(blob.as_buffer(), DOCUMENT), 1, buckets)
         if parts:
-            yield from _by_document(_summed(np.concatenate(parts)), 0, buckets)
+            yield from _by_document(_summed(_cat(parts)), 0, buckets)
 
     return answer
 
 
 def _summed(parts: np.ndarray) -> np.ndarray:
     """PART records of equal row added up, ascending by row."""
-    parts = parts[np.argsort(parts["row"], kind="stable")]
+    parts = _take(parts, np.argsort(parts["row"], kind="stable"))
     if not len(parts):
         return parts
     at = np.flatnonzero(np.r_[True, parts["row"][1:] != parts["row"][:-1]])
@@ -564,8 +579,9 @@ def _summed(parts: np.ndarray) -> np.ndarray:
 
 def _by_document(record: np.ndarray, kind: int, buckets: int):
     bucket = record["row"].astype(np.uint64) % np.uint64(buckets)
-    record = record[np.argsort(bucket, kind="stable")]
-    cuts = np.searchsorted(np.sort(bucket), np.arange(buckets + 1, dtype=np.uint64))
+    by = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+    record, bucket = _take(record, by), bucket[by]
+    cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
     used = np.flatnonzero(np.diff(cuts))
     yield _rows(used, kind, [record[cuts[b] : cuts[b + 1]].tobytes() for b in used.tolist()])
 
@@ -578,8 +594,8 @@ def _total(batches):
             (docs if kind else parts).append(np.frombuffer(blob.as_buffer(), DOCUMENT if kind else PART))
     if not docs:
         return
-    d = np.concatenate(docs)
-    p = _summed(np.concatenate(parts) if parts else np.zeros(0, PART))
+    d = _cat(docs)
+    p = _summed(_cat(parts) if parts else np.zeros(0, PART))
     rows, copies = np.unique(d["row"], return_counts=True)
     copies = copies[np.searchsorted(rows, d["row"])]
     sums = {name: np.zeros(len(d), PART[name]) for name in ("hits", "own", "rest")}
@@ -606,9 +622,9 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
     train = texts.where(~F.col("held_out")).select("text")
     slices = [checkpointed(train.mapInArrow(_counts(buckets, k, COUNT_SLICES), BLOBS).repartition("bucket").mapInArrow(_reduce, BLOBS)) for k in range(COUNT_SLICES)]
     sizes = reduce(DataFrame.unionAll, slices).where("kind = 0").select("blob").toArrow()["blob"].to_pylist()
-    distinct, total = (int(x) for x in sum((np.frombuffer(x, np.int64) for x in sizes), np.zeros(2, np.int64)))
+    distinct, total, grams = (int(x) for x in sum((np.frombuffer(x, np.int64) for x in sizes), np.zeros(3, np.int64)))
     bottom = float(np.log10(total + SMOOTH * (distinct + 1)))
-    packed, frequent = _weights(slices, max(2, int(total * ARC_SHARE)), bottom, total, buckets)
+    packed, frequent = _weights(slices, max(2, int(total * ARC_SHARE)), bottom, total, grams, buckets)
 
     def scored(k: int) -> DataFrame:
         asked = texts.where(F.pmod("row_key", F.lit(SCORE_SLICES)) == k).mapInArrow(_scorer(frequent, buckets), BLOBS)

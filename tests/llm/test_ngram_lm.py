@@ -146,3 +146,25 @@ def test_an_n_gram_without_its_end_is_left_out():
     sent = [r for b in lm._with_low(4)([batch]) for blob in b["blob"].to_pylist() for r in np.frombuffer(blob, lm.ARC).tolist()]
     assert sent == [(9, 5, 2, 0.5)]
     assert list(lm._with_low(4)([batch.slice(1)])) == []
+
+
+def test_few_n_grams_are_dealt_by_few_tasks(spark, monkeypatch):
+    """With many shuffle partitions a table of few n-grams is not cut into a blob for each task and bucket."""
+    held = []
+
+    def counted(df):
+        df = checkpointed(df)
+        held.append(df.count())
+        return df
+
+    checkpointed = lm.checkpointed
+    monkeypatch.setattr(lm, "checkpointed", counted)
+    r = random.Random(9)
+    rows = [(k, " ".join(f"w{r.randrange(50)}" for _ in range(40))) for k in range(200)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        assert run(spark, rows) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert max(held[lm.COUNT_SLICES : lm.COUNT_SLICES + 2 * lm.ARC_SLICES]) <= 4 * 64
