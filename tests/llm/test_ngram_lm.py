@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from fathomline.llm import ngram_lm as lm
+from fathomline.llm.shared import settings
 
 
 def tokens(text):
@@ -161,10 +162,6 @@ def test_few_n_grams_are_dealt_by_few_tasks(spark, monkeypatch):
     monkeypatch.setattr(lm, "checkpointed", counted)
     r = random.Random(9)
     rows = [(k, " ".join(f"w{r.randrange(50)}" for _ in range(40))) for k in range(200)]
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
-    try:
+    with settings(spark, {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
         assert run(spark, rows) == brute(rows)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert max(held[lm.COUNT_SLICES : lm.COUNT_SLICES + 2 * lm.ARC_SLICES]) <= 4 * 64
