@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import string
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,10 +60,12 @@ def _sieve(grams: DataFrame, lengths: list[int], slots: int) -> bytes:
     """A byte for each slot: 1 if a benchmark window has it. As large as ``slots``, whatever the number of windows."""
     words = grams.select("length", F.split("gram", " ").alias("w"))
     of = "CASE length " + " ".join(f"WHEN {n} THEN {_slot('w', '0', n, slots)}" for n in lengths) + " END" if lengths else "0"
-    filled = bytearray(slots)
-    for r in words.select(F.expr(of).alias("slot")).distinct().toLocalIterator():
-        filled[r["slot"]] = 1
-    return bytes(filled)
+    # one job, whatever the number of partitions; each bitmap holds 32768 slots
+    maps = words.select(F.expr(of).alias("slot")).groupBy(F.expr("slot >> 15").alias("map")).agg(F.expr("bitmap_construct_agg(CAST(slot & 32767 AS BIGINT))").alias("bits"))
+    filled = np.zeros(max(slots, 1 << 15), np.uint8)
+    for r in maps.collect():
+        filled[r["map"] << 15 : (r["map"] + 1) << 15] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+    return filled[:slots].tobytes()
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20) -> DataFrame:

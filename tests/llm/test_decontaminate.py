@@ -3,8 +3,11 @@ import random
 import re
 import time
 
+from pyspark.sql import functions as F
+
 from fathomline.llm import decontaminate
 from fathomline.llm.decontaminate import drop_contaminated, mark_contamination
+from fathomline.llm.shared import settings
 
 
 def words(text):
@@ -101,3 +104,23 @@ def test_empty_tables(spark):
     docs, bench = frames(spark, rows, items)
     assert mark_contamination(docs.limit(0), bench).collect() == []
     assert not any(r.contaminated for r in mark_contamination(docs, bench.limit(0)).collect())
+
+
+def test_the_sieve_takes_as_many_jobs_on_many_partitions(spark):
+    _, items = fixture()
+    _, bench = frames(spark, [(1, "a")], items)
+    context, store = spark.sparkContext, spark.sparkContext._jsc.sc().statusStore()
+    latest = lambda: max((store.jobsList(None).apply(k).jobId() for k in range(store.jobsList(None).size())), default=-1)
+    taken = []
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}):
+        grams = decontaminate.benchmark_windows(bench)
+        for slots in (1 << 12, 1 << 17):
+            context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+            began = latest()
+            sieve = decontaminate._sieve(grams, list(range(1, 14)), slots)
+            context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+            taken.append(latest() - began)
+            slot = lambda r: F.expr(decontaminate._slot("w", "0", r, slots))  # noqa: B023, E731
+            want = {x[0] for r in range(1, 14) for x in grams.where(f"length = {r}").select(F.split("gram", " ").alias("w")).select(slot(r)).distinct().collect()}
+            assert len(sieve) == slots and {k for k, b in enumerate(sieve) if b} == want
+    assert max(taken) < 10
