@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.llm.shared import checkpointed
-from fathomline.llm.wordvec import chunks, column, ranges, tokenise
+from fathomline.llm.wordvec import _SPACE, chunks, column, ranges, tokenise
 
 #: Tokens of leftover pieces in a shard, about; it bounds a packing task and the padding share.
 SHARD_TOKENS = 8_000_000
-MEMO_WORDS = 250_000
+#: Parts of words whose ids a task remembers; beyond, it begins anew.
+MEMO_WORDS = 600_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -49,25 +51,28 @@ class WordEncoder:
     def _reset(self):
         self.place: dict[str, int] = {}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.at = [0]
+        self.at = np.zeros(1 << 14, np.int64)  # where the ids of each part seen begin; they end where the next one's begin
 
     def _learn(self, parts: list[str]):
-        one = [w for w in parts if _ONE.fullmatch(w)]
-        rest = [w for w in parts if not _ONE.fullmatch(w)]
+        single = [_ONE.fullmatch(w) is not None for w in parts]
+        one = list(compress(parts, single))
+        rest = [w for w, x in zip(parts, single, strict=True) if not x]
         joined = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([" ".join(one[k : k + 2000]) for k in range(0, len(one), 2000)], add_special_tokens=False)]
         flat = np.concatenate(joined) if joined else np.zeros(0, np.uint32)
         ends = np.flatnonzero(self.last[flat]) + 1
         if len(ends) != len(one):  # not one end for each: take them one by one
             one, rest, flat, ends = [], parts, flat[:0], ends[:0]
-        alone = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
-        flat = np.concatenate([flat, *alone])
+        alone = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        flat = np.concatenate([flat, np.fromiter(chain.from_iterable(alone), np.uint32)])
         ends = np.r_[ends, (ends[-1] if len(ends) else 0) + np.cumsum([len(x) for x in alone], dtype=np.int64)].astype(np.int64)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : self.used + len(flat)] = flat
-        for w, end in zip([*one, *rest], (ends + self.used).tolist(), strict=True):
-            self.place[w] = len(self.at) - 1
-            self.at.append(end)
+        known = len(self.place)
+        while known + len(parts) >= len(self.at):
+            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+        self.at[known + 1 : known + 1 + len(parts)] = ends + self.used
+        self.place.update(zip([*one, *rest], range(known, known + len(parts)), strict=True))
         self.used += len(flat)
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,32 +90,34 @@ class WordEncoder:
         words = tokenise(texts, parts=True)
         # the parts as one Arrow column: their bytes without the gaps between them, A-Z lower-cased where all are ASCII
         size = words.end - words.start
-        wide = np.zeros(len(words.data) + 1, np.int64)
-        np.cumsum(words.data >= 128, out=wide[1:])
-        plain = wide[words.end] == wide[words.start]
-        data = words.data[np.repeat(words.start, size) + ranges(size)] if len(size) else np.zeros(0, np.uint8)
-        data = data + np.uint8(32) * (np.repeat(plain, size) & (data >= 65) & (data <= 90)).astype(np.uint8)
+        data = words.data[~_SPACE[words.data]]
         offsets = np.zeros(len(size) + 1, np.int32)
         np.cumsum(size, out=offsets[1:])
+        upper = (data >= 65) & (data <= 90)
+        wide = data >= 128
+        if wide.any():
+            upper &= np.repeat(~np.logical_or.reduceat(wide, offsets[:-1]), size)
+        data |= upper.view(np.uint8) << 5
         coded = pc.dictionary_encode(pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
         if len(self.place) > MEMO_WORDS:
             self._reset()
         distinct = coded.dictionary.to_pylist()
-        if fresh := [w for w in distinct if w not in self.place]:
-            self._learn(fresh)
-        row = np.array([self.place[w] for w in distinct], np.int64)
-        at = np.array(self.at, np.int64)
-        begin, count = at[row], at[row + 1] - at[row]
-        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.fromiter(map(self.place.get, distinct, repeat(-1)), np.int64, len(distinct))
+        if len(fresh := np.flatnonzero(row < 0)):
+            new = [distinct[k] for k in fresh.tolist()]
+            self._learn(new)
+            row[fresh] = np.fromiter(map(self.place.__getitem__, new), np.int64, len(new))
+        begin, count = self.at[row], self.at[row + 1] - self.at[row]
+        code = coded.indices.to_numpy(zero_copy_only=False)
         counts = count[code] if len(code) else np.zeros(0, np.int64)
         before = np.zeros(len(counts) + 1, np.int64)
         np.cumsum(counts, out=before[1:])
-        docs = np.arange(len(words.first))
-        first = before[words.first] + docs  # one end id before each later text
+        first = before[words.first] + np.arange(len(words.first))  # one end id before each later text
         out = np.empty(int(first[-1]), np.uint32)
-        doc = words.doc_of_word()
+        body = np.ones(len(out), bool)
+        body[first[1:] - 1] = False
         if len(code):
-            out[np.repeat(before[:-1] + doc, counts) + ranges(counts)] = self.ids[np.repeat(begin[code], counts) + ranges(counts)]
+            out[body] = self.ids[np.repeat(begin[code] - before[:-1], counts) + np.arange(before[-1])]
         out[first[1:] - 1] = end_id
         return out, first
 

@@ -4,9 +4,10 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from fathomline.llm.packing import best_fit_decreasing, pack_documents
+from fathomline.llm.packing import WordEncoder, best_fit_decreasing, pack_documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -53,3 +54,16 @@ def test_round_trip(spark):
 
 def test_empty_table(spark):
     assert pack_documents(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_each_of_many_parts_is_learnt_once():
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    parts = ["q" + "".join(letters[[k // 26**j % 26 for j in range(4)]]) for k in range(300_000)]
+    texts = [" ".join(parts[k : k + 30_000]) for k in range(0, len(parts), 30_000)]
+    encoder, learnt = WordEncoder(PATH), []
+    learn = encoder._learn
+    encoder._learn = lambda new: (learnt.append(len(new)), learn(new))
+    first = [encoder.encode(pa.array([t]), 1)[0].tolist() for t in texts]
+    assert [encoder.encode(pa.array([t.upper()]), 1)[0].tolist() for t in texts] == first
+    assert sum(learnt) == len(parts)
+    assert first[3] == encoder.tokenizer.encode(texts[3], add_special_tokens=False).ids + [1]
