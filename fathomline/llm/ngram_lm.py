@@ -35,13 +35,14 @@ FLUSH = 1_000_000
 #: Bytes of text at a time: what is made of them stays in a core's cache.
 TEXT_BYTES = 250_000
 #: Slices of the n-grams, counted one after the other, and of the documents, scored so: only one slice's traffic lies on disk.
-COUNT_SLICES, SCORE_SLICES = 3, 5
+COUNT_SLICES, SCORE_SLICES = 2, 3
 #: Slices of the contexts whose arcs are weighed one after the other.
 ARC_SLICES = 2
 #: N-grams that one task deals at least: with fewer, what it deals to each bucket would be a few.
 TASK_GRAMS = 250_000
 COUNTED = np.dtype([("key", "<u8"), ("n", "<u4")])
 GRAM = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<u4")])
+PAIR = np.dtype([("left", "<u8"), ("right", "<u8")])
 TALLY = np.dtype([("left", "<u8"), ("right", "<u8"), ("n", "<i8")])
 LOW = np.dtype([("key", "<u8"), ("p", "<f8")])
 STATE = np.dtype([("key", "<u8"), ("n", "<i8"), ("p", "<f8"), ("arc", "<f8")])
@@ -155,23 +156,44 @@ def _sum(parts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
     return key, out
 
 
-def _dealt(key: np.ndarray, record: np.ndarray, kind: int, buckets: int) -> pa.RecordBatch:
+def _dealt(key: np.ndarray, record: np.ndarray, kind: int, buckets: int, single: bool = False) -> pa.RecordBatch:
+    """A row for each bucket that has records; with ``single``, those whose last field is 1 come without it (see _singles)."""
     bucket = ((key >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)  # ascending with the keys
     if (bucket[1:] < bucket[:-1]).any():
         by = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
         record, bucket = _take(record, by), bucket[by]
-    cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+    bounds = np.arange(buckets + 1, dtype=np.uint64)
+    cuts = np.searchsorted(bucket, bounds)
     used = np.flatnonzero(np.diff(cuts))
-    blobs = [record[cuts[b] : cuts[b + 1]].tobytes() for b in used.tolist()]
+    if not single:
+        return _rows(used, kind, [record[cuts[b] : cuts[b + 1]].tobytes() for b in used.tolist()])
+    record = record.view(GRAM)
+    one = record["n"] == 1
+    pair, many = _records(PAIR, left=record["left"][one], right=record["right"][one]), _take(record, np.flatnonzero(~one))
+    cut1 = np.r_[0, np.cumsum(one)][cuts]
+    cut2 = cuts - cut1
+    blobs = [b"".join((int(cut1[b + 1] - cut1[b]).to_bytes(8, "little"), pair[cut1[b] : cut1[b + 1]].tobytes(), many[cut2[b] : cut2[b + 1]].tobytes())) for b in used.tolist()]
     return _rows(used, kind, blobs)
 
 
+def _singles(blob: pa.Buffer) -> np.ndarray:
+    """GRAM records of a blob that holds the number of those with a count of 1, these as PAIR records, and then the others."""
+    ones = int(np.frombuffer(blob, "<u8", 1)[0])
+    pair = np.frombuffer(blob, PAIR, ones, 8)
+    many = (blob.size - 8 - pair.nbytes) // GRAM.itemsize
+    out = np.empty(ones + many, GRAM)
+    out["left"][:ones], out["right"][:ones], out["n"][:ones] = pair["left"], pair["right"], 1
+    out[ones:] = np.frombuffer(blob, GRAM, many, 8 + pair.nbytes)
+    return out
+
+
 def _rows(buckets, kind: int, blobs: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array([kind] * len(blobs), pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "kind", "blob"])
 
 
-def _counts(buckets: int, slice_: int = 0, slices: int = 1):
-    """N-grams of each text's token stream whose keys are in the slice, counted within the task before they are dealt."""
+def _counts(buckets: int, slice_: int = 0, slices: int = 1, single: bool = False):
+    """N-grams of each text's token stream whose keys are in the slice, counted within the task before they are dealt, as
+    GRAM records or, with ``single``, as _singles reads them."""
 
     def count(batches):
         held, size = {1: [], 2: [], 3: []}, {1: 0, 2: 0, 3: 0}
@@ -183,26 +205,26 @@ def _counts(buckets: int, slice_: int = 0, slices: int = 1):
                     key, part = _sum(held[order], order)
                     held[order], size[order] = [part], len(part)
                     if len(part) >= FLUSH // 2:
-                        yield _dealt(key, part, order, buckets)
+                        yield _dealt(key, part, order, buckets, single)
                         held[order], size[order] = [], 0
         for order in held:
             if size[order]:
-                yield _dealt(*_sum(held[order], order), order, buckets)
+                yield _dealt(*_sum(held[order], order), order, buckets, single)
 
     return count
 
 
-def _blobs(batches, kinds: dict[int, np.dtype]):
+def _blobs(batches, kinds: dict[int, np.dtype], single: bool = False):
     """Bucket, kind and records of each row."""
     for batch in batches:
         for bucket, kind, blob in zip(column(batch, "bucket").to_pylist(), column(batch, "kind").to_pylist(), column(batch, "blob"), strict=True):
-            yield bucket, kind, np.frombuffer(blob.as_buffer(), kinds[kind])
+            yield bucket, kind, _singles(blob.as_buffer()) if single else np.frombuffer(blob.as_buffer(), kinds[kind])
 
 
-def _by_bucket(batches, kinds: dict[int, np.dtype]):
+def _by_bucket(batches, kinds: dict[int, np.dtype], single: bool = False):
     """Bucket and, by kind, the records of each bucket of a partition."""
     parts: dict[int, dict[int, list[np.ndarray]]] = {}
-    for bucket, kind, record in _blobs(batches, kinds):
+    for bucket, kind, record in _blobs(batches, kinds, single):
         parts.setdefault(bucket, {}).setdefault(kind, []).append(record)
     for bucket in list(parts):
         held = parts.pop(bucket)
@@ -240,7 +262,7 @@ def _reduce(batches):
     """TALLY records of the words (kind 1) and of the n-grams that occur twice (kinds 2 and 3), and how many words, tokens
     and records there are (kind 0)."""
     size = np.zeros(3, np.int64)
-    for bucket, held in _by_bucket(batches, {1: GRAM, 2: GRAM, 3: GRAM}):
+    for bucket, held in _by_bucket(batches, {1: GRAM, 2: GRAM, 3: GRAM}, single=True):
         for order, record in held.items():
             if len(record):
                 _, total, n = _totals([record], order)
@@ -477,7 +499,7 @@ def _asked(held: list[tuple[np.ndarray, np.ndarray]], buckets: int) -> pa.Record
     key, row = key[by], row[by]
     at = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])])
     record = _records(ASKED, key=key[at], row=row[at], n=np.diff(np.append(at, len(key))))
-    return _dealt(key[at], record, 1, buckets)
+    return _dealt(key[at], record, 1, buckets, single=True)
 
 
 def _scorer(frequent: tuple[Lookup, np.ndarray, np.ndarray], buckets: int):
@@ -541,7 +563,7 @@ def _answerer(buckets: int):
                         known = _take(known, np.argsort(known["key"]))
                         keys = known["key"].copy()
                     if len(known):
-                        asked = np.frombuffer(blob.as_buffer(), ASKED)
+                        asked = _singles(blob.as_buffer()).view(ASKED)
                         found, k = _found(keys, asked["key"].copy())
                         asked = _take(asked, found)
                         word = (asked["key"] & np.uint64(1)).astype(np.int64)
@@ -620,7 +642,7 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row_key"), held_out(F.col("doc_id"), folds).alias("held_out"))
     train = texts.where(~F.col("held_out")).select("text")
-    slices = [checkpointed(train.mapInArrow(_counts(buckets, k, COUNT_SLICES), BLOBS).repartition("bucket").mapInArrow(_reduce, BLOBS)) for k in range(COUNT_SLICES)]
+    slices = [checkpointed(train.mapInArrow(_counts(buckets, k, COUNT_SLICES, single=True), BLOBS).repartition("bucket").mapInArrow(_reduce, BLOBS)) for k in range(COUNT_SLICES)]
     sizes = reduce(DataFrame.unionAll, slices).where("kind = 0").select("blob").toArrow()["blob"].to_pylist()
     distinct, total, grams = (int(x) for x in sum((np.frombuffer(x, np.int64) for x in sizes), np.zeros(3, np.int64)))
     bottom = float(np.log10(total + SMOOTH * (distinct + 1)))

@@ -165,3 +165,27 @@ def test_few_n_grams_are_dealt_by_few_tasks(spark, monkeypatch):
     with settings(spark, {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
         assert run(spark, rows) == brute(rows)
     assert max(held[lm.COUNT_SLICES : lm.COUNT_SLICES + 2 * lm.ARC_SLICES]) <= 4 * 64
+
+
+def test_a_count_of_one_is_not_sent():
+    r = np.random.default_rng(5)
+    left, right = r.integers(0, 1 << 63, (2, 50_000), dtype=np.uint64)
+    n = np.where(r.random(50_000) < 0.9, 1, r.integers(2, 1 << 32, 50_000))
+    record = lm._records(lm.GRAM, left=left, right=right, n=n)
+    for chosen in (record, record[n == 1], record[n > 1], record[:1]):
+        key = lm._keys(chosen, 3)
+        by = np.argsort(key)
+        rows = lm._dealt(key[by], chosen[by], 3, 200, single=True)
+        ones = int((chosen["n"] == 1).sum())
+        assert sum(map(len, rows["blob"].to_pylist())) == 16 * ones + 20 * (len(chosen) - ones) + 8 * rows.num_rows
+        back = np.concatenate([x for _, _, x in lm._blobs([rows], {}, single=True)])
+        assert back.dtype == lm.GRAM and sorted(back.tolist()) == sorted(chosen.tolist())
+
+
+def test_requests_for_one_are_not_sent_with_a_count():
+    key = np.array([7, 7, 7, 1 << 60, 9, 7], np.uint64)
+    row = np.array([3, 3, -5, 4, 3, 3], np.int64)
+    rows = lm._asked([(key[:3], row[:3]), (key[3:], row[3:])], 1)
+    (found,) = (x.view(lm.ASKED) for _, _, x in lm._blobs([rows], {}, single=True))
+    assert sum(x["n"] for x in found) == len(key) and len(rows["blob"][0].as_py()) == 8 + 16 * sum(found["n"] == 1) + 20 * sum(found["n"] > 1)
+    assert {(k, r): int(found["n"][(found["key"] == k) & (found["row"] == r)].sum()) for k, r in zip(key.tolist(), row.tolist(), strict=True)} == {(7, 3): 3, (7, -5): 1, (1 << 60, 4): 1, (9, 3): 1}
